@@ -7,6 +7,7 @@ these separators and exactly A-Z, so the Arrow paths work on UTF-8 bytes and nev
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -14,7 +15,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,19 +68,67 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(kind).to_pylist()
 
 
-class WordHash(dict):
-    """64-bit hash of each word; remembers the first `bound` different words it meets."""
-
-    bound = 1 << 18
-
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < self.bound:
-            self[word] = h
-        return h
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+#: Odd base of the polynomial that hashes a word's bytes, and the bytes hashed side by side.
+BASE, PIECE = 0x9FB21C651E98DF25, 1 << 18
+_SPACE = np.zeros(256, bool)
+_SPACE[[32, 9, 10, 11, 12, 13]] = True
+_GAP = re.compile(rb"[ \t-\r]")
+_POWERS: list[np.ndarray] = []
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE ** i and BASE ** -i modulo 2 ** 64, for i < n at least."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        size = max(n, 2 * PIECE)
+        _POWERS[:] = [np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, x & (2**64 - 1), np.uint64)])) for x in (BASE, pow(BASE, -1, 2**64))]
+    return _POWERS[0], _POWERS[1]
+
+
+def _hashed(buf: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where words start in buf, and the 64-bit hash of each."""
+    a = np.frombuffer(buf, np.uint8)
+    up, down = _powers(len(a) + 1)
+    turns = np.diff(_SPACE[a].view(np.int8), prepend=np.int8(1), append=np.int8(1))
+    starts, ends = np.flatnonzero(turns == -1), np.flatnonzero(turns == 1)
+    sums = np.zeros(len(a) + 1, np.uint64)
+    np.cumsum((a.astype(np.uint64) + np.uint64(1)) * up[: len(a)], out=sums[1:])
+    return starts, mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+def _pieces(buf: bytes) -> Iterator[bytes]:
+    """buf in pieces of about PIECE bytes, none of which cuts a word."""
+    lo = 0
+    while len(buf) - lo > 2 * PIECE and (gap := _GAP.search(buf, lo + PIECE)):
+        yield buf[lo : gap.start()]
+        lo = gap.start()
+    yield buf[lo:]
+
+
+def word_hashes(texts: Iterable[bytes | None]) -> Iterator[np.ndarray]:
+    """For each text in order, the hashes of its words with A-Z in lower case. Null has no words."""
+    held: list[bytes] = []
+    size = 0
+
+    def some() -> Iterator[np.ndarray]:
+        starts, h = _hashed(b"\n".join(held).lower())
+        ends = np.cumsum([len(x) + 1 for x in held])
+        yield from np.split(h, np.searchsorted(starts, ends[:-1]))
+
+    for text in texts:
+        text = text or b""
+        if len(text) > 2 * PIECE:
+            if held:
+                yield from some()
+            held, size = [], 0
+            yield np.concatenate([_hashed(x)[1] for x in _pieces(text.lower())])
+            continue
+        held.append(text)
+        size += len(text) + 1
+        if size >= PIECE:
+            yield from some()
+            held, size = [], 0
+    if held:
+        yield from some()
 
 
 #: Odd multipliers of the places in a shingle.
@@ -107,7 +155,11 @@ def shingles_at(h: np.ndarray, k: int) -> np.ndarray:
 
 def shingle_set(h: np.ndarray, k: int = 5) -> np.ndarray:
     """Sorted distinct k-word shingles; with fewer words, the whole sequence as one; without words, none."""
-    return np.unique(shingles_at(h, min(k, len(h)))) if len(h) else np.empty(0, np.uint64)
+    return distinct(np.sort(shingles_at(h, min(k, len(h))))) if len(h) else np.empty(0, np.uint64)
+
+
+def distinct(ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.concatenate([[True], ordered[1:] != ordered[:-1]])] if len(ordered) else ordered
 
 
 def signed(h: np.ndarray) -> np.ndarray:
@@ -132,9 +184,22 @@ def bucket_levels(df: DataFrame, hashes) -> np.ndarray:
 
     def local(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << COUNT_BITS, np.uint32)
+        held: list[np.ndarray] = []
+
+        def add() -> None:
+            b = np.sort(np.concatenate(held) >> np.uint64(64 - COUNT_BITS))
+            at = np.flatnonzero(np.concatenate([[True], b[1:] != b[:-1]]))
+            counts[b[at].astype(np.int64)] += np.diff(at, append=len(b)).astype(np.uint32)
+            held.clear()
+
         for batch in batches:
             for h in hashes(batch):
-                np.add.at(counts, bucket_of(h), 1)
+                if len(h):
+                    held.append(h)
+                if sum(map(len, held[-1:])) > 100_000 or len(held) >= 1000:
+                    add()
+        if held:
+            add()
         small = np.minimum(counts, 255).astype(np.uint8).reshape(-1, COUNT_CHUNK)
         used = np.flatnonzero(small.any(axis=1))
         yield pa.record_batch({"chunk": pa.array(used, pa.int32()), "counts": pa.array([small[i].tobytes() for i in used], pa.binary())})

@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from cellframe.llm.base import sf_table, text_bytes
 
@@ -220,7 +221,7 @@ def language_id(docs: DataFrame, model: Model | None) -> DataFrame:
     """
     docs = docs.drop("lang_pred", "score")
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.schema.add("lang_pred", "string").add("score", "double")
+    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value

@@ -2,8 +2,9 @@
 
 A grouped prefix join. Shingles have one global order: rare ones first, by the levels of a fixed-size count table, ties
 by hash. Two sets that link share one of the first ``n - ceil(0.75 n) + 1`` shingles of each. Documents whose prefix and
-size are identical form one group; only groups are indexed and filtered, by shared prefix shingle, size and position;
-the pairs that remain are expanded to the groups' different sets and verified against whole sets.
+size are identical form one group; only groups are indexed and filtered, by shared prefix shingle, by size, and by what
+two prefixes let whole sets have in common; the pairs that remain are expanded to the groups' different sets and
+verified against whole sets.
 
 Classes need connectivity, not every pair, so pairs come in rounds. In the first rounds each shared shingle proposes
 only pairs with the first, then with the last set on its list (a star), which joins a large family of near copies with
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.llm.base import WordHash, bucket_levels, bucket_of, mixed, sf_table, shingle_set, signed, text_bytes, written
+from cellframe.llm.base import bucket_levels, bucket_of, distinct, mixed, sf_table, shingle_set, text_bytes, word_hashes, written
 
 K = 5
 #: Similarity as a fraction of whole numbers.
@@ -32,27 +33,44 @@ def prefix_length(n: int) -> int:
     return n - (NUM * n + DEN - 1) // DEN + 1 if n else 0
 
 
-def set_of(text: bytes | None, words: WordHash) -> np.ndarray:
-    return shingle_set(words.of((text or b"").lower().split()), K)
+def sets_of(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The sorted set of each text of a batch."""
+    return (shingle_set(h, K) for h in word_hashes(text_bytes(batch["text"])))
 
 
-def in_order(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
-    """The prefix of a sorted set: rare shingles first, ties by hash."""
-    key = (levels[bucket_of(s)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
-    p = prefix_length(len(s))
-    return s[np.argsort(key, kind="stable")[:p]]
+def order_keys(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    """The global order: rare shingles first, ties by hash."""
+    return (levels[bucket_of(s)].astype(np.uint64) << np.uint64(56)) | (s >> np.uint64(8))
+
+
+def prefix_of(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    return s[np.argsort(order_keys(s, levels), kind="stable")[: prefix_length(len(s))]]
+
+
+def prefixes_allow(x: np.ndarray, nx: int, y: np.ndarray, ny: int, levels: np.ndarray) -> bool:
+    """Whether sets of sizes nx and ny with these prefixes can link.
+
+    What both sets have up to the earlier of the two last prefix shingles is in both prefixes; beyond it they have no
+    more in common than either has left.
+    """
+    kx, ky = order_keys(x, levels), order_keys(y, levels)
+    both = np.sort(np.concatenate([x, y]))
+    common = int((both[1:] == both[:-1]).sum())
+    end = min(kx[-1], ky[-1])
+    left = min(nx - int(np.searchsorted(kx, end)), ny - int(np.searchsorted(ky, end)))
+    overlap = min(common + left, nx, ny)
+    return DEN * overlap >= NUM * (nx + ny - overlap)
 
 
 def _signatures(docs: DataFrame, levels) -> DataFrame:
     """doc_id, n, set_key, group_key of every document; and its prefix."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, table = WordHash(), np.frombuffer(levels.value, np.uint8)
+        table = np.frombuffer(levels.value, np.uint8)
         for batch in batches:
             n, keys, groups, prefixes = [], [], [], []
-            for text in text_bytes(batch["text"]):
-                s = set_of(text, words)
-                prefix = in_order(s, table).tobytes()
+            for s in sets_of(batch):
+                prefix = prefix_of(s, table).tobytes()
                 n.append(len(s))
                 keys.append(xxhash.xxh3_128_digest(s.tobytes()))
                 groups.append(xxhash.xxh3_128_digest(prefix + len(s).to_bytes(8, "big")))
@@ -179,25 +197,39 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
     maybe = docs.sparkSession.sparkContext.broadcast(bucket_levels(ids, hashed).tobytes())
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, table = WordHash(), np.frombuffer(maybe.value, np.uint8)
+        table = np.frombuffer(maybe.value, np.uint8)
         for batch in batches:
             at = batch["doc_id"].fill_null(0).cast(pa.int64()).to_numpy()
             batch = batch.filter(pa.array(table[bucket_of(mixed(at.view(np.uint64)))] > 0))
-            yield pa.record_batch({"doc_id": batch["doc_id"].cast(pa.int64()), "shingles": pa.array([set_of(x, words).tobytes() for x in text_bytes(batch["text"])], pa.binary())})
+            yield pa.record_batch({"doc_id": batch["doc_id"].cast(pa.int64()), "shingles": pa.array([s.tobytes() for s in sets_of(batch)], pa.binary())})
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, shingles binary").join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _allowed(pairs: DataFrame, groups: DataFrame, levels) -> DataFrame:
+    """Pairs of groups with `near`: whether their prefixes allow a link."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.frombuffer(levels.value, np.uint8)
+        for batch in batches:
+            rows = zip(*(batch[c].to_pylist() for c in ("p1", "n1", "p2", "n2")), strict=True)
+            near = [prefixes_allow(np.frombuffer(x, np.uint64), nx, np.frombuffer(y, np.uint64), ny, table) for x, nx, y, ny in rows]
+            yield pa.record_batch({"g1": batch["g1"], "g2": batch["g2"], "near": pa.array(near, pa.bool_())})
+
+    one, two = groups.select(F.col("gid").alias("g1"), F.col("prefix").alias("p1"), F.col("n").alias("n1")), groups.select(F.col("gid").alias("g2"), F.col("prefix").alias("p2"), F.col("n").alias("n2"))
+    return pairs.join(one, "g1").join(two, "g2").select("g1", "g2", "p1", "n1", "p2", "n2").mapInArrow(run, "g1 long, g2 long, near boolean")
+
+
+def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Of pairs (a, b) of documents, those whose whole sets link."""
+    sets = written(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), "whole")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch["s1"].to_pylist(), batch["s2"].to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.sort(np.concatenate([x, y]), kind="stable")
-                common = int((both[1:] == both[:-1]).sum())
+                common = len(x) + len(y) - len(distinct(np.sort(np.concatenate([x, y]))))
                 keep.append(DEN * common >= NUM * (len(x) + len(y) - common))
             at = pa.array(keep, pa.bool_())
             yield pa.record_batch({"a": batch["a"].filter(at), "b": batch["b"].filter(at)})
@@ -243,20 +275,12 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    vocabulary: list[WordHash] = []
-
-    def shingles(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        words = vocabulary[0] if vocabulary else WordHash()
-        if not vocabulary:
-            vocabulary.append(words)
-        for text in text_bytes(batch["text"]):
-            yield set_of(text, words)
-
-    levels = spark.sparkContext.broadcast(bucket_levels(docs.select("text"), shingles).tobytes())
+    levels = spark.sparkContext.broadcast(bucket_levels(docs.select("text"), sets_of).tobytes())
     signatures = _signatures(docs, levels)
     members = written(signatures.drop("prefix"), "members")
     linkable = F.col("doc_id").isNotNull() & (F.col("n") > 0)
-    groups = signatures.where(linkable).groupBy("group_key").agg(F.min("doc_id").alias("gid"), F.first("prefix").alias("prefix"))
+    groups = signatures.where(linkable).groupBy("group_key").agg(F.min("doc_id").alias("gid"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    groups = written(groups.drop("group_key"), "groups")
     shared = written(_shared(_tokens(groups)), "shared")
 
     # Sets by key, each named by its smallest document; groups by key, each named by its smallest set.
@@ -265,12 +289,13 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     named = sets.groupBy("group_key").agg(F.min("node").alias("gid"), F.count("*").alias("different"))
     nodes = sets.join(named, "group_key").select("node", "gid", "n", "different")
     candidates = written(nodes.join(shared.select("gid").distinct(), "gid", "left_semi").unionByName(nodes.where("different > 1")).distinct(), "nodes")
-    whole = written(_sets(docs, candidates.select(F.col("node").alias("doc_id"))), "whole")
+    groups = groups.join(shared.select("gid").distinct(), "gid", "left_semi")
     lists = shared.join(candidates.where("node = gid").select("gid", "n"), "gid")
 
     comps: DataFrame | None = None
     links: DataFrame | None = None
     tested: DataFrame | None = None
+    refused: DataFrame | None = None
     for turn in range(3):
         star = turn < 2
         now = candidates.withColumn("comp", F.col("node"))
@@ -280,6 +305,11 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
         state = now.groupBy("gid").agg(F.when(F.min("comp") == F.max("comp"), F.min("comp")).otherwise(-1 - F.col("gid")).alias("comp"), F.first("n").alias("n"))
         rows = lists.select("token", "gid").join(state, "gid")
         pairs = _proposals(rows, ("first", "last", "all")[turn])
+        if refused is not None:
+            pairs = pairs.join(refused, ["g1", "g2"], "left_anti")
+        judged = written(_allowed(pairs, groups, levels), "judged")
+        no, pairs = judged.where("NOT near").select("g1", "g2"), judged.where("near").select("g1", "g2")
+        refused = no if refused is None else refused.unionByName(no)
         own = now.where("different > 1").select("gid").distinct().select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
         left, right = now.select(F.col("gid").alias("g1"), F.col("node").alias("a"), F.col("comp").alias("ca")), now.select(F.col("gid").alias("g2"), F.col("node").alias("b"), F.col("comp").alias("cb"))
         if star:  # of each group, its first set; within a group, all sets with the first
@@ -291,7 +321,7 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        new = written(_verified(pairs, whole), "links")
+        new = written(_verified(pairs, docs), "links")
         links = new if links is None else links.unionByName(new)
         comps = written(components(links), "comps")
 
