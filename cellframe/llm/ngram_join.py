@@ -7,8 +7,8 @@ two prefixes let whole sets have in common; the pairs that remain are expanded t
 verified against whole sets.
 
 Classes need connectivity, not every pair, so pairs come in rounds. In the first rounds each shared shingle proposes
-only pairs with the first, then with the last set on its list (a star), which joins a large family of near copies with
-as many pairs as it has members. The last round proposes every pair that is left between sets not yet connected. No candidate is capped
+only pairs with one set on its list (a star), which joins a large family of near copies with as many pairs as it has
+members. The last round proposes every pair that is left between sets not yet connected. No candidate is capped
 and no link between different components is lost.
 """
 
@@ -81,85 +81,80 @@ def _signatures(docs: DataFrame, levels) -> DataFrame:
 
 
 def _tokens(groups: DataFrame) -> DataFrame:
-    """(token, gid) for each shingle of each group's prefix."""
+    """(token, gid, rest) for each shingle of each group's prefix; rest counts the set's shingles from it on."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            gids = batch["gid"].to_numpy()
+            gids, sizes = batch["gid"].to_numpy(), batch["n"].to_pylist()
             parts = [np.frombuffer(p, np.int64) for p in batch["prefix"].to_pylist()]
             ends = np.cumsum([len(p) for p in parts])
             lo = 0
             while lo < len(parts):
                 hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + 200_000)))
-                yield pa.record_batch({"token": pa.array(np.concatenate(parts[lo:hi])), "gid": pa.array(np.repeat(gids[lo:hi], [len(p) for p in parts[lo:hi]]))})
+                rest = np.concatenate([np.arange(n, n - len(p), -1, dtype=np.int32) for n, p in zip(sizes[lo:hi], parts[lo:hi], strict=True)])
+                yield pa.record_batch({"token": pa.array(np.concatenate(parts[lo:hi])), "gid": pa.array(np.repeat(gids[lo:hi], [len(p) for p in parts[lo:hi]])), "rest": pa.array(rest)})
                 lo = hi
 
-    return groups.select("gid", "prefix").mapInArrow(run, "token long, gid long")
+    return groups.select("gid", "n", "prefix").mapInArrow(run, "token long, gid long, rest int")
 
 
 def _shared(tokens: DataFrame) -> DataFrame:
     """Rows of tokens that stand in two groups or more. Streams through sorted rows; holds one batch and one row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t0, g0 = np.empty(0, np.int64), np.empty(0, np.int64)
-        shared0 = False
+        held: pa.RecordBatch | None = None
+        shared = False
         for batch in batches:
             if not batch.num_rows:
                 continue
-            t, g = np.concatenate([t0, batch["token"].to_numpy()]), np.concatenate([g0, batch["gid"].to_numpy()])
+            both = batch if held is None else pa.concat_batches([held, batch])
+            t = both["token"].to_numpy()
             same = t[1:] == t[:-1]
             keep = np.zeros(len(t), bool)
             keep[1:] |= same
             keep[:-1] |= same
-            keep[0] |= shared0 and len(t0) > 0
-            yield pa.record_batch({"token": pa.array(t[:-1][keep[:-1]]), "gid": pa.array(g[:-1][keep[:-1]])})
-            t0, g0, shared0 = t[-1:], g[-1:], bool(keep[-1])
-        if shared0:
-            yield pa.record_batch({"token": pa.array(t0), "gid": pa.array(g0)})
+            keep[0] |= shared
+            yield both.slice(0, len(t) - 1).filter(pa.array(keep[:-1]))
+            held, shared = both.slice(len(t) - 1), bool(keep[-1])
+        if held is not None and shared:
+            yield held
 
-    return tokens.repartition("token").sortWithinPartitions("token", "gid").mapInArrow(run, "token long, gid long")
+    return tokens.repartition("token").sortWithinPartitions("token", "gid").mapInArrow(run, tokens.schema)
 
 
 def _proposals(rows: DataFrame, which: str) -> DataFrame:
-    """Pairs of groups on the lists of shared tokens, of sizes that can link and in different components.
+    """Pairs of groups on the lists of shared tokens that can link and are in different components.
 
-    rows: token, gid, n, comp, sorted here by token, then n, then gid. which: "first" or "last", each row pairs with
-    the first or last row of its list that its size allows; "all", with every row before it. Lists are read one after
-    another.
+    rows: token, gid, rest, n, comp, sorted here by token, then n, then gid. Sets of sizes n and m link only if they
+    share ``ceil(3 (n + m) / 7)`` shingles; at the first shingle that they share, both have as many from it on. So a
+    pair is proposed only where both rests allow it, and a linking pair is so at its first shared shingle.
+    which: "centre", each row pairs with the row of its list nearest to the front of its own set; "last", with the
+    last row that its size allows; "all", with every row before it. Lists are read one after another.
     """
 
-    def pairs(g: np.ndarray, n: np.ndarray, c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        a, b = [], []
-        if which == "first":
-            hub = 0
-            for i in range(1, len(g)):
-                while DEN * n[hub] < NUM * n[i]:
-                    hub += 1
-                if hub < i and c[hub] != c[i]:
-                    a.append(g[hub])
-                    b.append(g[i])
-            yield np.array(a, np.int64), np.array(b, np.int64)
-        elif which == "last":
-            hub = len(g) - 1
-            for i in range(len(g) - 2, -1, -1):
-                while DEN * n[i] < NUM * n[hub]:
-                    hub -= 1
-                if hub > i and c[hub] != c[i]:
-                    a.append(g[hub])
-                    b.append(g[i])
-            yield np.array(a, np.int64), np.array(b, np.int64)
-        else:
+    def need(n: np.ndarray, m: np.ndarray) -> np.ndarray:
+        return -(-NUM * (n + m) // (NUM + DEN))
+
+    def pairs(g: np.ndarray, rest: np.ndarray, n: np.ndarray, c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if which == "all":
             for i in range(1, len(g)):
                 lo = int(np.searchsorted(DEN * n[:i], NUM * n[i]))
-                other = lo + np.flatnonzero(c[lo:i] != c[i])
+                other = lo + np.flatnonzero((c[lo:i] != c[i]) & (np.minimum(rest[lo:i], rest[i]) >= need(n[lo:i], n[i])))
                 if len(other):
                     yield g[other], np.full(len(other), g[i])
+            return
+        if which == "centre":
+            hub = np.full(len(g), np.argmax(rest / n))
+        else:  # the last row of at most DEN / NUM of its size
+            hub = np.searchsorted(NUM * n, DEN * n, side="right") - 1
+        ok = (c != c[hub]) & (np.minimum(rest, rest[hub]) >= need(n, n[hub]))
+        yield g[hub[ok]], g[ok]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def whole_lists() -> Iterator[tuple[np.ndarray, ...]]:
-            held = [np.empty(0, np.int64)] * 4
+            held = [np.empty(0, np.int64)] * 5
             for batch in batches:
-                cols = [np.concatenate([h, batch[k].to_numpy()]) for h, k in zip(held, ("token", "gid", "n", "comp"), strict=True)]
+                cols = [np.concatenate([h, batch[k].to_numpy().astype(np.int64)]) for h, k in zip(held, ("token", "gid", "rest", "n", "comp"), strict=True)]
                 if not len(cols[0]):
                     continue
                 edges = np.flatnonzero(np.diff(cols[0])) + 1
@@ -171,10 +166,10 @@ def _proposals(rows: DataFrame, which: str) -> DataFrame:
                 yield tuple(held)
 
         seen: set[tuple[int, int]] = set()
-        for _, g, n, c in whole_lists():
+        for _, g, rest, n, c in whole_lists():
             if len(g) < 2 or (c == c[0]).all():
                 continue
-            for a, b in pairs(g, n, c):
+            for a, b in pairs(g, rest, n, c):
                 new = []
                 for x in zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True):
                     if x not in seen:
@@ -290,7 +285,6 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     nodes = sets.join(named, "group_key").select("node", "gid", "n", "different")
     candidates = written(nodes.join(shared.select("gid").distinct(), "gid", "left_semi").unionByName(nodes.where("different > 1")).distinct(), "nodes")
     groups = groups.join(shared.select("gid").distinct(), "gid", "left_semi")
-    lists = shared.join(candidates.where("node = gid").select("gid", "n"), "gid")
 
     comps: DataFrame | None = None
     links: DataFrame | None = None
@@ -303,8 +297,8 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
             now = candidates.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         # A group counts as one component only if all its sets are in it; otherwise it stays open as its own.
         state = now.groupBy("gid").agg(F.when(F.min("comp") == F.max("comp"), F.min("comp")).otherwise(-1 - F.col("gid")).alias("comp"), F.first("n").alias("n"))
-        rows = lists.select("token", "gid").join(state, "gid")
-        pairs = _proposals(rows, ("first", "last", "all")[turn])
+        rows = shared.join(state, "gid")
+        pairs = _proposals(rows, ("centre", "last", "all")[turn])
         if refused is not None:
             pairs = pairs.join(refused, ["g1", "g2"], "left_anti")
         judged = written(_allowed(pairs, groups, levels), "judged")
