@@ -30,7 +30,7 @@ def box(df: DataFrame, value: str, size: int, stats: Sequence[str] = ("mean", "s
     one = df.withColumns({f"__{k}": f(e).over(along) for k, f, e in want})
     two = one.withColumns({f"__{k}2": (F.max if k == "m" else F.sum)(f"__{k}").over(across) for k, _, _ in want})
     mean = F.try_divide(F.col("__s2"), F.col("__n2"))
-    made = {"mean": lambda: mean, "std": lambda: F.sqrt(F.greatest(F.try_divide(F.col("__q2"), F.col("__n2")) - mean * mean, F.lit(0.0))), "max": lambda: F.col("__m2")}
+    made = {"mean": lambda: mean, "std": lambda: F.when(F.col("__n2") > 0, F.sqrt(F.greatest(F.col("__q2") / F.col("__n2") - mean * mean, F.lit(0.0)))), "max": lambda: F.col("__m2")}
     p = prefix or f"{value}_w{size}"
     return two.select(*df.columns, *[made[s]().alias(f"{p}_{s}") for s in stats])
 
@@ -69,14 +69,14 @@ def gradients(df: DataFrame, value: str, res: float) -> DataFrame:
         back = F.when(F.lag(at).over(w) == F.col(at) - 1, F.lag(value).over(w))
         ahead = F.when(F.lead(at).over(w) == F.col(at) + 1, F.lead(value).over(w))
         here = F.col(value)
-        return F.when(back.isNotNull() & ahead.isNotNull(), (ahead - back) / (2.0 * res)).when(ahead.isNotNull(), (ahead - here) / res).when(back.isNotNull(), (here - back) / res)
+        return F.when(here.isNull(), None).when(back.isNotNull() & ahead.isNotNull(), (ahead - back) / (2.0 * res)).when(ahead.isNotNull(), (ahead - here) / res).when(back.isNotNull(), (here - back) / res)
 
     return df.withColumns({"dz_dx": slope(x, "col_id"), "dz_dy": slope(y, "row_id")})
 
 
 def slope_aspect(df: DataFrame, value: str, res: float) -> DataFrame:
     """Slope in degrees, and aspect in degrees from north; NULL at missing cells."""
-    g = gradients(df, value, res).where(F.lit(True))
+    g = gradients(df, value, res)
     known = F.col(value).isNotNull()
     slope = F.degrees(F.atan(F.hypot("dz_dx", "dz_dy")))
     aspect = F.pmod(F.degrees(F.atan2(-F.col("dz_dx"), F.col("dz_dy"))), F.lit(360.0))
