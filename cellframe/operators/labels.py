@@ -32,6 +32,20 @@ def priority_label(matches: DataFrame, pid: str, sets: Sequence[str] = PRIORITY,
     return out.withColumns({"label": F.col("label_source").isin("nucleo", "interpretado").cast("int"), "weight": weight})
 
 
+def type_label(matches: DataFrame, pid: str, types: Sequence[str], first: str | None = None) -> DataFrame:
+    """pid with deposit_type and label: the last type in order that matches, but `first` ends the search if it does.
+
+    matches: pid and kind, one row for each match, kind NULL for none; no match is `negative`, label 0.
+    """
+    hits = matches.groupBy(pid).agg(*[F.max(F.coalesce(F.col("kind") == t, F.lit(False))).alias(f"__{i}") for i, t in enumerate(types)])
+    found = F.lit(None).cast("string")
+    for i, t in enumerate(types):
+        found = F.when(F.col(f"__{i}"), t).otherwise(found)
+    if first is not None:
+        found = F.when(F.col(f"__{list(types).index(first)}"), first).otherwise(found)
+    return hits.select(pid, F.coalesce(found, F.lit("negative")).alias("deposit_type"), found.isNotNull().cast("int").alias("label"))
+
+
 def overlap_share(pairs: DataFrame) -> Column:
     """Share of a box (bx0..by1) that a zone box (x0..y1) covers."""
     c = F.col

@@ -178,3 +178,31 @@ def densify(lines: DataFrame, step: float, key: str = "feature_id", order: str |
     rows = rows.withColumns({"gap": gap, "i0": first, "i1": last}).where("i0 <= i1").withColumn("i", F.explode(F.sequence("i0", "i1")))
     t = F.coalesce(F.try_divide(F.col("i") * F.col("gap") - F.col("start"), F.col("seg")), F.lit(0.0))
     return rows.select(key, "i", (F.col("x1") + t * (F.col("x2") - F.col("x1"))).alias("x"), (F.col("y1") + t * (F.col("y2") - F.col("y1"))).alias("y"))
+
+
+def clip(cells: DataFrame, edges: DataFrame, key: str = "feature_id", strip: float = 1.0) -> DataFrame:
+    """The cells whose centre some feature holds."""
+    c = cells.select(F.struct("row_id", "col_id").alias("id"), (F.col("col_id") + F.lit(0.5)).cast("double").alias("x"), (F.col("row_id") + F.lit(0.5)).cast("double").alias("y"))
+    inside = containing(c, edges, key, "id", strip).select("id.row_id", "id.col_id").distinct()
+    return cells.join(inside, ["row_id", "col_id"], "left_semi")
+
+
+def covered_cells(boxes: DataFrame, edges: DataFrame, n: int, pid: str, key: str = "feature_id", strip: float = 1.0) -> DataFrame:
+    """(pid, key, share): the share of n x n sub-cell centres of each box (bx0..by1) that a feature holds.
+
+    For polygons of any shape, holes included; the error is that of the sub-cells. The union of features needs no
+    geometry: a centre is in it if it is in any.
+    """
+    i = F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    sub = boxes.withColumn("i", i).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    x = F.col("bx0") + (F.col("i") + F.lit(0.5)) * (F.col("bx1") - F.col("bx0")) / n
+    y = F.col("by0") + (F.col("j") + F.lit(0.5)) * (F.col("by1") - F.col("by0")) / n
+    centres = sub.select(F.struct(pid, "i", "j").alias("id"), x.alias("x"), y.alias("y"))
+    inside = containing(centres, edges, key, "id", strip)
+    return inside.groupBy(F.col(f"id.{pid}").alias(pid), key).agg((F.count("*") / F.lit(float(n * n))).alias("share"))
+
+
+def union_area(cells: DataFrame, zones_of_cell: DataFrame, key: str, cell_area: float) -> DataFrame:
+    """Area of the union of each key's features: distinct cells that any of them holds."""
+    held = cells.join(zones_of_cell, ["row_id", "col_id"]).select(key, "row_id", "col_id").distinct()
+    return held.groupBy(key).agg((F.count("*") * F.lit(float(cell_area))).alias("area"))

@@ -169,6 +169,26 @@ def polygon_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.select("feature_id", *[F.round(c, 6).alias(c) for c in ("area", "length", "cx", "cy")])
 
 
+@query(with_views("SELECT row_id, col_id, v FROM grid SEMI JOIN zones ON zone = 'nucleo' AND col_id + 0.5 >= x0 AND col_id + 0.5 < x1 AND row_id + 0.5 >= y0 AND row_id + 0.5 < y1", "grid", "zones"))
+def clip_to_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    core = edges_of_boxes(view(spark, sf_dir, "zones").where("zone = 'nucleo'"), "feature_id")
+    return spatial.clip(view(spark, sf_dir, "grid").select("row_id", "col_id", "v"), core, strip=4.0)
+
+
+@query(with_views(f""", {_BOXES}, s AS (SELECT id, bx0 + (i + 0.5e0) * (bx1 - bx0) / 4 AS x, by0 + (j + 0.5e0) * (by1 - by0) / 4 AS y FROM b, (SELECT unnest(range(4)) AS i), (SELECT unnest(range(4)) AS j))
+SELECT id, CAST(feature_id AS INTEGER) AS feature_id, count(*) / 16.0e0 AS share FROM s JOIN zones ON x >= x0 AND x < x1 AND y >= y0 AND y < y1 GROUP BY 1, 2""", "points", "zones"))
+def polygon_overlap_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spatial.covered_cells(_boxes(spark, sf_dir), _zones(spark, sf_dir), 4, "id", strip=4.0)
+
+
+@query(with_views("SELECT zone, count(DISTINCT row_id * 50 + col_id) * 900.0e0 AS area FROM grid JOIN zones ON col_id + 0.5 >= x0 AND col_id + 0.5 < x1 AND row_id + 0.5 >= y0 AND row_id + 0.5 < y1 GROUP BY 1", "grid", "zones"))
+def zone_union_area(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g, z = view(spark, sf_dir, "grid").select("row_id", "col_id"), view(spark, sf_dir, "zones").select("feature_id", "zone")
+    centres = g.select(F.struct("row_id", "col_id").alias("id"), (F.col("col_id") + 0.5).cast("double").alias("x"), (F.col("row_id") + 0.5).cast("double").alias("y"))
+    inside = spatial.containing(centres, _zones(spark, sf_dir), strip=4.0).join(z, "feature_id").select("id.row_id", "id.col_id", "zone")
+    return spatial.union_area(g, inside, "zone", 900.0)
+
+
 # Labels, samples and splits
 
 _MATCH = f", {_EDGES}, {_INSIDE}, m AS (SELECT points.id, z.zone FROM points LEFT JOIN i USING (id) LEFT JOIN zones z ON z.feature_id = i.feature_id)"
@@ -187,6 +207,14 @@ def priority_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(spark, sf_dir)
 
 
+@query(with_views(f"{_MATCH} SELECT id, CASE WHEN bool_or(zone = 'nucleo') THEN 'nucleo' WHEN bool_or(zone = 'negativo') THEN 'negativo' WHEN bool_or(zone = 'interpretado') THEN 'interpretado' ELSE 'negative' END AS deposit_type, CAST(coalesce(bool_or(zone IN ('nucleo', 'interpretado', 'negativo')), false) AS INTEGER) AS label FROM m GROUP BY 1", "zones", "points"))
+def type_priority_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points, zones = view(spark, sf_dir, "points").select("id", "x", "y"), view(spark, sf_dir, "zones").select("feature_id", "zone")
+    inside = spatial.containing(points, _zones(spark, sf_dir), strip=4.0).join(zones, "feature_id")
+    matches = points.join(inside.select("id", F.col("zone").alias("kind")), "id", "left")
+    return labels.type_label(matches, "id", ("nucleo", "interpretado", "negativo"), first="nucleo")
+
+
 @query(with_views("SELECT CAST(feature_id AS INTEGER) AS feature_id, zone, CASE zone WHEN 'negativo' THEN 0 ELSE 1 END AS label, CASE zone WHEN 'interpretado' THEN 0.6e0 ELSE 1.0e0 END AS weight FROM zones WHERE zone <> 'none'", "zones"))
 def label_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.label_sets(view(spark, sf_dir, "zones"), io.Config().label_sets).select("feature_id", "zone", "label", "weight")
