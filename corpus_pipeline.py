@@ -18,11 +18,11 @@ from cellframe.llm.sharding import sharded
 
 SHARDS = 16
 #: Least share of the best language's marginals.
-LANGUAGE_SCORE = 0.5
+LANGUAGE_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those of which no language holds half."""
+    """Rejects documents without letters and those of which no language holds its least share."""
     sure = language_id(docs, learned(docs)).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LANGUAGE_SCORE))
     return sure.select(*docs.columns)
 
