@@ -12,6 +12,7 @@ begins, so that memory doesn't grow with a text; marginals differ only at such a
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -20,29 +21,50 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from cellframe.llm.base import sf_table, text_bytes
+from cellframe.llm.base import mixed, sf_table, text_bytes
 
 PER_LANGUAGE, SAMPLE_CHARS, LANGUAGES = 120, 20_000, 64
 CHAIN, TRAIN_CHAIN = 1024, 64
-#: Features that the sample shows fewer times are left out.
-LEAST = 3
+#: Features are hashed; those that the sample shows fewer than LEAST times are left out.
+FEATURE_BITS, LEAST = 18, 3
+MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 #: Words predicted side by side, and words whose scores a worker remembers.
-BATCH_WORDS, REMEMBERED = 400_000, 1 << 18
+BATCH_WORDS, REMEMBERED = 400_000, 1 << 19
 UNDETERMINED = "und"
 
 
 def letters_of(word: str) -> str:
-    return "".join(c for c in word if c.isalpha()).casefold()
+    return (word if word.isalpha() else "".join(filter(str.isalpha, word))).casefold()
 
 
-def features(word: str) -> list[str]:
-    """Of a word's letters: the word, its affixes of 1 to 3 letters, and its bigrams and trigrams with borders."""
-    w = letters_of(word)
-    if not w:
-        return []
-    b = f"^{w}$"
-    out = [f"w:{w}"] + [f"p:{w[:i]}" for i in (1, 2, 3) if len(w) >= i] + [f"s:{w[-i:]}" for i in (1, 2, 3) if len(w) >= i]
-    return out + [b[i : i + n] for n in (2, 3) for i in range(len(b) - n + 1)]
+def feature_ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(place of the word, feature) of words given by their letters, features hashed into 2 ** FEATURE_BITS.
+
+    Of each word: itself, its affixes of 1 to 3 letters, and its bigrams and trigrams with borders.
+    """
+    codes = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    end = np.cumsum(size)
+    begin, at = end - size, np.arange(len(codes))
+    left = np.repeat(end, size) - at  # letters and borders from here on
+    word = np.repeat(np.arange(len(words)), size)
+    own, out = [np.arange(len(words))], [np.fromiter((zlib.crc32(w.encode()) for w in words), np.uint64, len(words)) * MULTIPLIERS[0]]
+
+    def add(kind: int, n: int, starts: np.ndarray, owners: np.ndarray) -> None:
+        h = np.full(len(starts), kind, np.uint64) * MULTIPLIERS[1]
+        for i in range(n):
+            h = (h ^ codes[starts + i]) * MULTIPLIERS[2 + i]
+        own.append(owners)
+        out.append(h)
+
+    for n in (1, 2, 3):
+        long = np.flatnonzero(size >= n + 2)
+        add(n, n, begin[long] + 1, long)
+        add(3 + n, n, end[long] - 1 - n, long)
+    for n in (2, 3):
+        starts = np.flatnonzero(left >= n)
+        add(5 + n, n, starts, word[starts])
+    return np.concatenate(own), (mixed(np.concatenate(out)) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
 
 
 class Chains:
@@ -60,8 +82,9 @@ class Chains:
         rank[order] = np.arange(len(size))
         word_chain = np.repeat(np.arange(len(size)), size)
         place = np.arange(len(word_chain)) - np.repeat(np.cumsum(size) - size, size)
-        self.order = np.lexsort((rank[word_chain], place))
-        self.steps = np.concatenate([[0], np.cumsum(np.bincount(place, minlength=1))]) if len(place) else np.zeros(1, np.int64)
+        self.steps = np.concatenate([[0], np.cumsum(np.bincount(place))]) if len(place) else np.zeros(1, np.int64)
+        self.order = np.empty(len(place), np.int64)
+        self.order[self.steps[place] + rank[word_chain]] = np.arange(len(place))
         self.word_text = np.repeat(np.arange(len(lengths)), lengths)[self.order]
 
     def marginals(self, scores: np.ndarray, start: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
@@ -91,19 +114,17 @@ class Chains:
 
 
 class Model:
-    def __init__(self, labels: list[str], index: dict[str, int], weights: np.ndarray, start: np.ndarray, trans: np.ndarray) -> None:
-        self.labels, self.index, self.weights, self.start, self.trans = labels, index, weights, start, trans
+    def __init__(self, labels: list[str], weights: np.ndarray, start: np.ndarray, trans: np.ndarray) -> None:
+        self.labels, self.weights, self.start, self.trans = labels, weights, start, trans
 
     def rows(self, words: list[str]) -> np.ndarray:
-        """Scores of each word: the sum of its features' weights."""
-        ids, counts = [], []
-        for w in words:
-            own = [i for f in features(w) if (i := self.index.get(f)) is not None]
-            ids += own
-            counts.append(len(own))
-        sums = np.vstack([np.zeros((1, len(self.labels))), np.cumsum(self.weights[np.array(ids, np.int64)], axis=0)])
-        ends = np.cumsum(counts, dtype=np.int64)
-        return (sums[ends] - sums[ends - counts]).astype(np.float32)
+        """Scores of words given by their letters: the sums of their features' weights."""
+        parts = [np.zeros((0, len(self.labels)), np.float32)]
+        for lo in range(0, len(words), 20_000):
+            some = words[lo : lo + 20_000]
+            word, ids = feature_ids(some)
+            parts.append(np.stack([np.bincount(word, w[ids], len(some)) for w in self.weights], axis=1).astype(np.float32))
+        return np.concatenate(parts)
 
 
 def train(sample: list[tuple[str, str]], turns: int = 30, rate: float = 0.15, decay: float = 1e-6) -> Model | None:
@@ -111,24 +132,18 @@ def train(sample: list[tuple[str, str]], turns: int = 30, rate: float = 0.15, de
     labels = sorted({label for _, label in sample})
     if not labels:
         return None
-    texts = [([w for w in text.split() if letters_of(w)], labels.index(label)) for text, label in sample]
+    texts = [([x for w in text.split() if (x := letters_of(w))], labels.index(label)) for text, label in sample]
     texts = [x for x in texts if x[0]]
     vocabulary: dict[str, int] = {}
     flat = np.array([vocabulary.setdefault(w, len(vocabulary)) for ws, _ in texts for w in ws], np.int64)
-    own = [features(w) for w in vocabulary]
-    times = np.bincount(flat, minlength=len(vocabulary)) if len(flat) else np.zeros(0)
-    seen: dict[str, int] = {}
-    for fs, n in zip(own, times.tolist(), strict=True):
-        for f in fs:
-            seen[f] = seen.get(f, 0) + n
-    index = {f: i for i, f in enumerate(f for f in seen if seen[f] >= LEAST)}
-    n_labels = len(labels)
-    model = Model(labels, index, np.zeros((len(index), n_labels)), np.zeros(n_labels), np.zeros((n_labels, n_labels)))
+    n_labels, n_words = len(labels), len(vocabulary)
+    model = Model(labels, np.zeros((n_labels, 1 << FEATURE_BITS)), np.zeros(n_labels), np.zeros((n_labels, n_labels)))
     if n_labels == 1 or not len(flat):
         return model
-    entry_word = np.repeat(np.arange(len(own)), [len(x) for x in own])
-    entry = np.array([index.get(f, -1) for x in own for f in x])
-    entry_word, entry = entry_word[entry >= 0], entry[entry >= 0]
+    entry_word, entry = feature_ids(list(vocabulary))
+    times = np.bincount(flat, minlength=n_words)
+    frequent = np.bincount(entry, times[entry_word], 1 << FEATURE_BITS) >= LEAST
+    entry_word, entry = entry_word[frequent[entry]], entry[frequent[entry]]
     chains = Chains(np.array([len(ws) for ws, _ in texts]), TRAIN_CHAIN)
     words, gold = flat[chains.order], np.array([y for _, y in texts])[chains.word_text]
     same = np.diag(np.bincount(gold, minlength=n_labels)).astype(float)
@@ -138,10 +153,10 @@ def train(sample: list[tuple[str, str]], turns: int = 30, rate: float = 0.15, de
     m, v = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
     one = np.eye(n_labels)[gold]
     for turn in range(1, turns + 1):
-        scores = np.stack([np.bincount(entry_word, model.weights[entry, k], len(own)) for k in range(n_labels)], axis=1)
+        scores = np.stack([np.bincount(entry_word, w[entry], n_words) for w in model.weights], axis=1)
         marg, moves, _, begin = chains.marginals(scores[words], model.start, model.trans)
-        by_word = np.stack([np.bincount(words, (one - marg)[:, k], len(own)) for k in range(n_labels)], axis=1)
-        by_feature = np.stack([np.bincount(entry, by_word[entry_word, k], len(index)) for k in range(n_labels)], axis=1)
+        by_word = [np.bincount(words, d, n_words) for d in (one - marg).T]
+        by_feature = np.stack([np.bincount(entry, d[entry_word], 1 << FEATURE_BITS) for d in by_word])
         for i, (p, g) in enumerate(zip(params, (by_feature, first - begin, same - moves), strict=True)):
             g = g / len(flat) - decay * p
             m[i] = 0.9 * m[i] + 0.1 * g
@@ -161,11 +176,11 @@ class Scorer:
         new = [w for w in set(words) if w not in self.known]
         if len(self.known) + len(new) > REMEMBERED:
             self.known, self.scores, new = {}, self.scores[:1], list(set(words))
-        lettered = [w for w in new if any(map(str.isalpha, w))]
-        self.known.update(dict.fromkeys(new, 0))
-        self.known.update((w, len(self.scores) + i) for i, w in enumerate(lettered))
-        if lettered:
-            self.scores = np.vstack([self.scores, self.model.rows(lettered)])
+        bare: dict[str, int] = {}  # words that differ in case or in other characters share a row
+        for w in new:
+            self.known[w] = bare.setdefault(x, len(self.scores) + len(bare)) if (x := letters_of(w)) else 0
+        if bare:
+            self.scores = np.vstack([self.scores, self.model.rows(list(bare))])
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def labelled(self, texts: list[bytes | None]) -> Iterator[tuple[str, float]]:
