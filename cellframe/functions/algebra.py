@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellframe.functions.ranks import percentiles
+
 EPS = 1e-10
 C = F.col
 
@@ -93,13 +95,16 @@ def all_valid(bands: Sequence[str]) -> Column:
 
 
 def stretched(df: DataFrame, bands: Sequence[str], low: float = 0.02, high: float = 0.98) -> DataFrame:
-    """Bands stretched to [0, 1] between two percentiles of their valid cells.
+    """Bands stretched to [0, 1] between two percentiles of their valid cells; missing cells stay missing."""
+
+    def one(b: str) -> Column:
+        lo, hi = percentiles(df, b, (low, high))
+        if lo is None:
+            return F.lit(None).cast("double")
+        share = (F.col(b) - F.lit(lo)) / F.lit(max(hi - lo, 1e-6))
+        return F.when(F.col(b).isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), share)))
 
-    The percentiles are one row, joined to all cells.
-    """
-    cuts = df.agg(*[F.percentile(b, F.array(F.lit(low), F.lit(high))).alias(f"__{b}") for b in bands])
-    one = lambda b: F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col(b) - F.col(f"__{b}")[0]) / F.greatest(F.col(f"__{b}")[1] - F.col(f"__{b}")[0], F.lit(1e-6))))
-    return df.join(F.broadcast(cuts)).select(*[one(c).alias(c) if c in bands else F.col(c) for c in df.columns])
+    return df.withColumns({b: one(b) for b in bands})
 
 
 def encoded(df: DataFrame, column: str, legend: DataFrame) -> DataFrame:

@@ -6,17 +6,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellframe.functions.algebra import target_id
+from cellframe.functions.ranks import percentiles
 from cellframe.operators.composite import cut
 
 
-def threshold(surface: DataFrame, value: str, percentile: float, least: float) -> DataFrame:
-    """One row: the percentile of all valid cells, but not below least."""
-    return surface.agg(F.greatest(F.percentile(value, F.lit(float(percentile))), F.lit(float(least))).alias("threshold"))
+def threshold(surface: DataFrame, value: str, percentile: float, least: float) -> float:
+    """The percentile of all valid cells, but not below least."""
+    p = percentiles(surface, value, [percentile])[0]
+    return least if p is None else max(p, least)
 
 
 def above(surface: DataFrame, value: str, percentile: float, least: float) -> DataFrame:
-    limit = threshold(surface, value, percentile, least)
-    return surface.join(F.broadcast(limit)).where(F.col(value) >= F.col("threshold")).drop("threshold")
+    """The cells at or above the threshold; the limit is a constant, so the filter reaches the scan."""
+    return surface.where(F.col(value) >= F.lit(threshold(surface, value, percentile, least)))
 
 
 def components(cells: DataFrame, width: int) -> DataFrame:

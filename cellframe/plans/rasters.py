@@ -149,10 +149,7 @@ def validity_mask(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(with_views(""", p AS (SELECT quantile_cont(dem, 0.02) AS a, quantile_cont(dem, 0.98) AS b FROM grid)
 SELECT row_id, col_id, CASE WHEN dem IS NOT NULL THEN round(greatest(0, least(1, (dem - a) / greatest(b - a, 1e-6))), 6) END AS dem FROM grid, p""", "grid"))
 def percentile_stretch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = view(spark, sf_dir, "grid").select("row_id", "col_id", "dem")
-    s = alg.stretched(g, ["dem"])
-    # greatest and least pass over NULL, so missing cells are kept missing here.
-    return s.join(g.withColumnRenamed("dem", "was"), ["row_id", "col_id"]).select("row_id", "col_id", F.when(F.col("was").isNotNull(), F.round("dem", 6)).alias("dem"))
+    return r6(alg.stretched(view(spark, sf_dir, "grid").select("row_id", "col_id", "dem"), ["dem"]), "dem")
 
 
 @query("SELECT CAST(row_number() OVER (ORDER BY c) AS INTEGER) AS codigo, c AS categoria FROM (SELECT DISTINCT trim(coalesce(CASE WHEN p_size > 5 THEN p_type END, 'DESCONHECIDO')) AS c FROM part) UNION ALL SELECT -1, 'sem_dados'")

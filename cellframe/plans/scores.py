@@ -141,7 +141,7 @@ def _hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(with_views("SELECT greatest(quantile_cont(v, 0.997), 0.5) AS threshold FROM grid", "grid"))
 def percentile_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return targets.threshold(view(spark, sf_dir, "grid"), "v", 0.997, 0.5)
+    return spark.createDataFrame([(targets.threshold(view(spark, sf_dir, "grid"), "v", 0.997, 0.5),)], "threshold double")
 
 
 @query(with_views(f", {_TH}, {_COMP} SELECT row_id, col_id, c AS component FROM ids JOIN comp USING (id)", "grid").replace("WITH ", "WITH RECURSIVE ", 1))

@@ -88,6 +88,17 @@ def test_gaussian_equals_convolution(spark):
     assert np.allclose(np.nan_to_num(got), np.where(den > 1e-8, num / np.maximum(den, 1e-300), 0))
 
 
+def test_percentiles_equal_numpy(spark):
+    from cellframe.functions.ranks import percentiles
+
+    rng = np.random.default_rng(0)
+    for x in (rng.normal(size=3000), np.concatenate([np.zeros(2000), [1e12, -5.0, 3.0]]), np.ones(10), np.array([2.0])):
+        df = spark.createDataFrame([(float(v),) for v in x] + [(None,)], "v double")
+        for small in (20, 10_000):
+            assert np.allclose(percentiles(df, "v", (0, 0.02, 0.5, 0.997, 1), small), np.quantile(x, (0, 0.02, 0.5, 0.997, 1)))
+    assert percentiles(df.where("v > 5"), "v", (0.5,)) == [None]
+
+
 def test_ratios_and_indices(spark):
     df = spark.createDataFrame([(0, 0, 1.0, 0.0, None, 2.0), (0, 1, 2.0, 2.0, 2.0, 0.0)], "row_id int, col_id int, B08 double, B04 double, B02 double, B11 double")
     a = df.select(alg.safe_ratio(F.col("B08"), F.col("B04")), alg.norm_diff(F.col("B08"), F.col("B02"))).collect()
