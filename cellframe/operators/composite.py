@@ -2,24 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share; in local mode without one, in the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{root}/{name}-{uuid.uuid4().hex}"
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """df as a written table: ends its lineage, and outlives lost executors."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+from cellframe.sources.scratch import written
 
 
 def dry_and_clear(scenes: DataFrame, max_cloud: float, months: tuple[int, int] = (3, 10), start: str | None = None, end: str | None = None) -> DataFrame:
@@ -79,7 +67,7 @@ def greedy_coverage(footprints: DataFrame, clouds: DataFrame, coverage: float =
     step; cells stay distributed, and lineage is cut at each step.
     """
     spark = footprints.sparkSession
-    left = cut(footprints.select("scene_id", "cell").distinct(), "cells")
+    left = written(footprints.select("scene_id", "cell").distinct(), "cells")
     clouds = clouds.select("scene_id", F.coalesce("cloud", F.lit(100)).cast("double").alias("cloud"))
     total = left.select("cell").distinct().count()
     covered, steps = 0, []
@@ -90,11 +78,9 @@ def greedy_coverage(footprints: DataFrame, clouds: DataFrame, coverage: float =
         steps.append((best["scene_id"], len(steps) + 1, best["count"]))
         covered += best["count"]
         won = left.where(F.col("scene_id") == best["scene_id"]).select("cell")
-        left = cut(left.join(won, "cell", "left_anti"), "cells")
+        left = written(left.join(won, "cell", "left_anti"), "cells")
     chosen = spark.createDataFrame(steps, "scene_id long, step int, gain long")
     room = max(0, max_scenes - len(steps))
     rest = clouds.join(chosen, "scene_id", "left_anti").orderBy("cloud", "scene_id").limit(room)
-    from pyspark.sql import Window
-
     rest = rest.select("scene_id", (F.row_number().over(Window.orderBy("cloud", "scene_id")) + len(steps)).alias("step"), F.lit(0).cast("long").alias("gain"))
     return chosen.unionByName(rest)

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellframe.functions import geometry as geo
+from cellframe.sources.scratch import written
 
 
 def bin_of(c: Column, size: float) -> Column:
@@ -90,9 +91,9 @@ def nearest(points: DataFrame, others: DataFrame, start: float, pid: str = "id")
         return points.select(pid, F.lit(None).cast("double").alias("distance"))
     left, radius, out = points.select(pid, "x", "y"), float(start), None
     while left.limit(1).count():
-        found = within_radius(left, others, radius, pid).groupBy(pid).agg(F.sqrt(F.min("d2")).alias("distance"))
+        found = written(within_radius(left, others, radius, pid).groupBy(pid).agg(F.sqrt(F.min("d2")).alias("distance")), "near")
         out = found if out is None else out.unionByName(found)
-        left, radius = left.join(found, pid, "left_anti"), radius * 2
+        left, radius = written(left.join(found, pid, "left_anti"), "left"), radius * 2
     return out if out is not None else points.select(pid, F.lit(None).cast("double").alias("distance"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellframe.functions.algebra import target_id
 from cellframe.functions.ranks import percentiles
-from cellframe.operators.composite import cut
+from cellframe.sources.scratch import written
 
 
 def threshold(surface: DataFrame, value: str, percentile: float, least: float) -> float:
@@ -31,26 +31,26 @@ def components(cells: DataFrame, width: int) -> DataFrame:
     marked = cells.select("row_id", "col_id").distinct().withColumn("g", F.col("col_id") - F.row_number().over(across))
     runs = marked.groupBy("row_id", "g").agg(F.min("col_id").alias("c0"), F.max("col_id").alias("c1"))
     runs = runs.select("row_id", "g", "c0", "c1", (F.col("row_id").cast("long") * width + F.col("c0")).alias("run"))
-    runs = cut(runs, "runs")
+    runs = written(runs, "runs")
     # Runs meet by blocks of columns, so a long row doesn't pair all its runs.
     size = 64
     spread = lambda df, a, b: df.withColumn("block", F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size))))
     upper = spread(runs.select((F.col("row_id") + 1).alias("row_id"), F.col("c0").alias("u0"), F.col("c1").alias("u1"), F.col("run").alias("a")), "u0", "u1")
     lower = spread(runs.select("row_id", "c0", "c1", F.col("run").alias("b")), "c0", "c1")
-    edges = cut(upper.join(lower, ["row_id", "block"]).where("u0 <= c1 AND c0 <= u1").select("a", "b").distinct(), "edges")
+    edges = written(upper.join(lower, ["row_id", "block"]).where("u0 <= c1 AND c0 <= u1").select("a", "b").distinct(), "edges")
     label = runs.select("run", F.col("run").alias("component"))
     while edges.limit(1).count():
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hooks = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("to")), "hooks")
+        hooks = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("to")), "hooks")
         moved = True
         while moved:
             up = hooks.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            hooks = cut(hooks.join(up, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")), "hooks")
+            hooks = written(hooks.join(up, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")), "hooks")
             moved = hooks.where("moved").limit(1).count() > 0
         hooks = hooks.select("node", "to")
-        label = cut(label.join(hooks.toDF("component", "to"), "component", "left").select("run", F.coalesce("to", "component").alias("component")), "label")
+        label = written(label.join(hooks.toDF("component", "to"), "component", "left").select("run", F.coalesce("to", "component").alias("component")), "label")
         ends = edges.join(hooks.toDF("a", "x"), "a").join(hooks.toDF("b", "y"), "b").where("x <> y")
-        edges = cut(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+        edges = written(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
     named = marked.join(runs.join(label, "run").select("row_id", "g", "component"), ["row_id", "g"])
     return cells.join(named.select("row_id", "col_id", "component"), ["row_id", "col_id"])
 
