@@ -180,6 +180,37 @@ def occurrence_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.occurrences(part.select("p_partkey", code.alias("cod_modelo")), "cod_modelo", {"porfiro": 1500.0}).drop("cod_modelo")
 
 
+@query(with_views("""SELECT row_id, col_id, upper(substr(category, 1, 3)) || '-' || lpad(CAST(row_id + 1 AS VARCHAR), 3, '0') AS target_id, format('{}_r{:03d}_c{:03d}', category, row_id, col_id) AS patch_id,
+  split_part('s2_' || category || '_-69.5_' || col_id, '_-', 1) AS layer FROM grid WHERE row_id < 900""", "grid"))
+def id_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = view(spark, sf_dir, "grid").where("row_id < 900")
+    name = F.concat(F.lit("s2_"), F.col("category"), F.lit("_-69.5_"), F.col("col_id").cast("string"))
+    patch = F.format_string("%s_r%03d_c%03d", F.col("category"), F.col("row_id"), F.col("col_id"))
+    return g.select("row_id", "col_id", alg.target_id(F.col("category"), F.col("row_id") + 1).alias("target_id"), patch.alias("patch_id"), alg.chunk_key(name).alias("layer"))
+
+
+@query(with_views(", a AS (SELECT row_id, col_id, v FROM grid WHERE v > 20), b AS (SELECT row_id, col_id, dem FROM grid WHERE dem > 300) SELECT row_id, col_id, v, dem FROM a FULL JOIN b USING (row_id, col_id)", "grid"))
+def band_stack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = view(spark, sf_dir, "grid")
+    return io.band_stack([g.where("v > 20").select("row_id", "col_id", "v"), g.where("dem > 300").select("row_id", "col_id", "dem")])
+
+
+_MASKS = ", a AS (SELECT row_id, col_id FROM grid WHERE v > 20), b AS (SELECT row_id, col_id FROM grid WHERE dem > 300), x AS (SELECT row_id, col_id FROM grid WHERE category = 'click')"
+
+
+@query(with_views(f"{_MASKS} (SELECT * FROM a INTERSECT SELECT * FROM b) EXCEPT SELECT * FROM x", "grid"))
+def mask_set_operations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cells in both masks but not in a third, as set operations on cells."""
+    g = view(spark, sf_dir, "grid")
+    cells = lambda where: g.where(where).select("row_id", "col_id")
+    return cells("v > 20").intersect(cells("dem > 300")).subtract(cells("category = 'click'"))
+
+
+@query(with_views("SELECT category, count(v) AS n, round(avg(v / 100), 9) AS mean_prob FROM grid GROUP BY 1", "grid"))
+def tile_mean_prob(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "grid").groupBy("category").agg(F.count("v").alias("n"), F.round(F.avg(F.col("v") / 100), 9).alias("mean_prob"))
+
+
 # Composites
 
 

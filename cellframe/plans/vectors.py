@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.functions.geometry import edges_of_boxes, polygon_measures
+from cellframe.functions.geometry import box_overlap, edges_of_boxes, polygon_measures, project
 from cellframe.operators import labels, spatial
 from cellframe.sources import io
 from cellframe.sources.fixtures import view, with_views
@@ -189,6 +189,28 @@ def zone_union_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.union_area(g, inside, "zone", 900.0)
 
 
+@query()
+def utm_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Points placed around the central meridian, projected; the series is tested against the meridian arc."""
+    p = view(spark, sf_dir, "points").select("id", (F.col("x") / 50 - 69.5).alias("x"), (F.col("y") / 20 - 33).alias("y"))
+    return project(p, "x", "y")
+
+
+@query(with_views("""SELECT CAST(feature_id AS INTEGER) AS feature_id, '{"type":"Polygon","coordinates":[[[' || x0 || ',' || y0 || '],[' || x1 || ',' || y0 || '],[' || x1 || ',' || y1 || '],[' || x0 || ',' || y1 || '],[' || x0 || ',' || y0 || ']]]}' AS geojson FROM zones""", "zones"))
+def geojson_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "zones").select("feature_id", io.as_geojson("x0", "y0", "x1", "y1").alias("geojson"))
+
+
+@query(with_views("SELECT CAST(z.feature_id AS BIGINT) AS a, CAST(y.feature_id AS BIGINT) AS b, round(greatest(0, least(z.x1, y.x1 + 1) - greatest(z.x0, y.x0 + 1)) * greatest(0, least(z.y1, y.y1 + 1) - greatest(z.y0, y.y0 + 1)), 6) AS area FROM zones z JOIN zones y ON z.x0 <= y.x1 + 1 AND z.x1 >= y.x0 + 1 AND z.y0 <= y.y1 + 1 AND z.y1 >= y.y0 + 1", "zones"))
+def zone_intersection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zones with a copy of themselves moved by (1, 1): pairs that meet, and the area they share."""
+    z = view(spark, sf_dir, "zones")
+    moved = z.select(F.col("feature_id").cast("long").alias("b"), *[(F.col(c) + 1).alias(f"b{c}") for c in ("x0", "y0", "x1", "y1")])
+    pairs = spatial.boxes_meeting(moved, z.select(F.col("feature_id").cast("long").alias("a"), "x0", "y0", "x1", "y1"), 4.0, "b")
+    area = box_overlap(*[F.col(c) for c in ("x0", "y0", "x1", "y1", "bx0", "by0", "bx1", "by1")])
+    return pairs.select("a", "b", F.round(area, 6).alias("area"))
+
+
 # Labels, samples and splits
 
 _MATCH = f", {_EDGES}, {_INSIDE}, m AS (SELECT points.id, z.zone FROM points LEFT JOIN i USING (id) LEFT JOIN zones z ON z.feature_id = i.feature_id)"

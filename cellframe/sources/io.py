@@ -87,6 +87,14 @@ def band_names(df: DataFrame, wanted: Sequence[str]) -> DataFrame:
     return df.select("row_id", "col_id", *[F.col(b) if b in df.columns else F.lit(0.0).alias(b) for b in wanted])
 
 
+def band_stack(layers: Sequence[DataFrame]) -> DataFrame:
+    """Layers on one grid side by side, by cell; cells that only some have are NULL in the others."""
+    out = layers[0]
+    for df in layers[1:]:
+        out = out.join(df, ["row_id", "col_id"], "full")
+    return out
+
+
 #: Spectral band names and their names in the scene catalog (fixed values).
 ASSETS = {"B02": "blue", "B03": "green", "B04": "red", "B05": "rededge1", "B06": "rededge2", "B07": "rededge3", "B08": "nir", "B8A": "nir08", "B11": "swir16", "B12": "swir22"}
 
@@ -143,7 +151,7 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.csv(path, header=True, schema=schema)
 
 
-def as_geojson(df: DataFrame, x0: str, y0: str, x1: str, y1: str) -> Column:
+def as_geojson(x0: str, y0: str, x1: str, y1: str) -> Column:
     """A box as the text of a GeoJSON polygon."""
     p = lambda x, y: F.concat(F.lit("["), F.col(x).cast("string"), F.lit(","), F.col(y).cast("string"), F.lit("]"))
     ring = F.concat_ws(",", p(x0, y0), p(x1, y0), p(x1, y1), p(x0, y1), p(x0, y0))
