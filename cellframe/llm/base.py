@@ -6,11 +6,7 @@ these separators and exactly A-Z, so the Arrow paths work on UTF-8 bytes and nev
 
 from __future__ import annotations
 
-import atexit
 import re
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,29 +17,6 @@ from pyspark.sql import functions as F
 SPACES = r"[\x20\x09-\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-_OWN_ROOT: dict[str, str] = {}
-
-
-def shared_root(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode only, a temporary one."""
-    if root := spark.conf.get("spark.checkpoint.dir", None):
-        return root
-    if root := spark.sparkContext.getCheckpointDir():
-        return root
-    if not spark.sparkContext.master.startswith(("local[", "local")) or spark.sparkContext.master.startswith("local-"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    if "root" not in _OWN_ROOT:
-        _OWN_ROOT["root"] = tempfile.mkdtemp(prefix="cellframe-")
-        atexit.register(shutil.rmtree, _OWN_ROOT["root"], ignore_errors=True)
-    return _OWN_ROOT["root"]
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows of df as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
-    path = f"{shared_root(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
 
 def words_of(text: Column) -> Column:
     """The words of a text as an array; none for null."""
@@ -63,6 +36,49 @@ def let(value: Column, body) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+#: Matches of a text that are placed together.
+TOGETHER = 256
+
+
+def placed(found: Column, gaps: Column, make, kind: str) -> Column:
+    """An array of what make(i, first, last) gives for each match, all in order.
+
+    found: the matches of a text; gaps: what stands between them, one more; first and last are the match's characters,
+    last exclusive. make gives an array of kind, so that it can leave a match out. Lengths are summed in groups, groups
+    before matches, so the work grows with the number of matches and not with its square.
+    """
+    none = F.array().cast(f"array<{kind}>")
+    n = F.size(found)
+    groups = F.sequence(F.lit(0), F.floor((n - 1) / TOGETHER).cast("int"))
+
+    def summed(lengths: Column) -> Column:
+        sums = F.transform(groups, lambda g: F.aggregate(F.slice(lengths, g * TOGETHER + 1, F.lit(TOGETHER)), F.lit(0), lambda acc, x: acc + x))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+        step = lambda acc, x: F.struct((acc["at"] + x).alias("at"), F.concat(acc["starts"], F.array(acc["at"])).alias("starts"))
+        return let(F.aggregate(sums, start, step, lambda acc: acc["starts"]), spread)
+
+    def spread(starts: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            first = acc["at"] + F.length(F.get(gaps, i))
+            last = first + F.length(F.get(found, i))
+            return F.struct(last.alias("at"), F.concat(acc["spans"], make(i, first, last)).alias("spans"))
+
+        def group(g: Column) -> Column:
+            places = F.sequence(g * TOGETHER, F.least(n, (g + 1) * TOGETHER) - 1)
+            return F.aggregate(places, F.struct(F.get(starts, g).alias("at"), none.alias("spans")), step, lambda acc: acc["spans"])
+
+        return F.flatten(F.transform(groups, group))
+
+    return F.when(n > 0, let(F.transform(found, lambda x, i: F.length(x) + F.length(F.get(gaps, i))), summed)).otherwise(none)
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller ones, so that what a task makes of one at a time stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return column.cast(kind).to_pylist()
@@ -192,7 +208,7 @@ def bucket_levels(df: DataFrame, hashes) -> np.ndarray:
             counts[b[at].astype(np.int64)] += np.diff(at, append=len(b)).astype(np.uint32)
             held.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             for h in hashes(batch):
                 if len(h):
                     held.append(h)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.llm.base import bucket_of, sf_table, shingles_at, text_bytes, word_hashes
+from cellframe.llm.base import bucket_of, sf_table, shingles_at, slices, text_bytes, word_hashes
 
 K = 5
 SIMILARITY = 0.75
@@ -164,7 +164,7 @@ def contaminated_passages(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = sent.value
-            for batch in batches:
+            for batch in slices(batches):
                 rows = []
                 for doc, h in zip(batch["doc_id"].to_pylist(), word_hashes(text_bytes(batch["text"])), strict=True):
                     for i, (sim, start, apart) in index.found(h).items():
@@ -184,7 +184,7 @@ def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
         def run(batches: Iterable[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = sent.value
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not index.found(h) for h in word_hashes(text_bytes(batch["text"]))], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from cellframe.llm.base import mixed, sf_table, text_bytes
+from cellframe.llm.base import mixed, sf_table, slices, text_bytes
 
 PER_LANGUAGE, SAMPLE_CHARS, LANGUAGES = 120, 20_000, 64
 CHAIN, TRAIN_CHAIN = 1024, 64
@@ -29,7 +29,7 @@ CHAIN, TRAIN_CHAIN = 1024, 64
 FEATURE_BITS, LEAST = 18, 3
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 #: Words predicted side by side, and words whose scores a worker remembers.
-BATCH_WORDS, REMEMBERED = 400_000, 1 << 19
+BATCH_WORDS, REMEMBERED = 400_000, 1 << 18
 UNDETERMINED = "und"
 
 
@@ -188,7 +188,7 @@ class Scorer:
         held: list[list[str]] = []
         size = 0
         for text in texts:
-            words = (text or b"").decode().split()
+            words = (text or b"").decode(errors="replace").split()
             held.append(words)
             size += len(words)
             if size >= BATCH_WORDS:
@@ -241,7 +241,7 @@ def language_id(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         scorer = Scorer(model) if model is not None else None
-        for batch in batches:
+        for batch in slices(batches):
             texts = text_bytes(batch["text"])
             got = list(scorer.labelled(texts)) if scorer else [(UNDETERMINED, 0.0)] * len(texts)
             cols = [*batch.columns, pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())]

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellframe.llm.base import hex_bucket, sf_table, word_count, written
+from cellframe.llm.base import hex_bucket, sf_table, word_count
+from cellframe.sources.scratch import written
 
 WEIGHTS = (1, 2, 3)
 EPOCHS = 3

@@ -22,7 +22,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.llm.base import bucket_levels, bucket_of, distinct, mixed, sf_table, shingle_set, text_bytes, word_hashes, written
+from cellframe.llm.base import bucket_levels, bucket_of, distinct, mixed, sf_table, shingle_set, slices, text_bytes, word_hashes
+from cellframe.sources.scratch import written
 
 K = 5
 #: Similarity as a fraction of whole numbers.
@@ -67,7 +68,7 @@ def _signatures(docs: DataFrame, levels) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(levels.value, np.uint8)
-        for batch in batches:
+        for batch in slices(batches):
             n, keys, groups, prefixes = [], [], [], []
             for s in sets_of(batch):
                 prefix = prefix_of(s, table).tobytes()
@@ -84,7 +85,7 @@ def _tokens(groups: DataFrame) -> DataFrame:
     """(token, gid, rest) for each shingle of each group's prefix; rest counts the set's shingles from it on."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             gids, sizes = batch["gid"].to_numpy(), batch["n"].to_pylist()
             parts = [np.frombuffer(p, np.int64) for p in batch["prefix"].to_pylist()]
             ends = np.cumsum([len(p) for p in parts])
@@ -193,7 +194,7 @@ def _sets(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(maybe.value, np.uint8)
-        for batch in batches:
+        for batch in slices(batches):
             at = batch["doc_id"].fill_null(0).cast(pa.int64()).to_numpy()
             batch = batch.filter(pa.array(table[bucket_of(mixed(at.view(np.uint64)))] > 0))
             yield pa.record_batch({"doc_id": batch["doc_id"].cast(pa.int64()), "shingles": pa.array([s.tobytes() for s in sets_of(batch)], pa.binary())})
@@ -206,7 +207,7 @@ def _allowed(pairs: DataFrame, groups: DataFrame, levels) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(levels.value, np.uint8)
-        for batch in batches:
+        for batch in slices(batches):
             rows = zip(*(batch[c].to_pylist() for c in ("p1", "n1", "p2", "n2")), strict=True)
             near = [prefixes_allow(np.frombuffer(x, np.uint64), nx, np.frombuffer(y, np.uint64), ny, table) for x, nx, y, ny in rows]
             yield pa.record_batch({"g1": batch["g1"], "g2": batch["g2"], "near": pa.array(near, pa.bool_())})
@@ -220,7 +221,7 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     sets = written(_sets(docs, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()), "whole")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             keep = []
             for x, y in zip(batch["s1"].to_pylist(), batch["s2"].to_pylist(), strict=True):
                 x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
