@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cellframe.llm.base import sf_table, written
+from cellframe.llm.base import sf_table, slices
+from cellframe.sources.scratch import written
 
 #: Turns of a conversation whose events are numbered together.
 SPAN = 256
@@ -109,7 +110,7 @@ def _events(turns: DataFrame, schemas: dict[str, dict[str, Any]]) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string())
         names = [x.split()[0] for x in _EVENT.split(", ")]
-        for batch in batches:
+        for batch in slices(batches):
             rows = [(conv, turn, *e) for conv, turn, role, text in zip(*(batch[c].to_pylist() for c in ("conv_id", "turn", "role", "text")), strict=True) for e in events_of(role, text, schemas)]
             cols = list(zip(*rows, strict=True)) or [()] * len(kinds)
             yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
@@ -181,15 +182,15 @@ def linked(turns: DataFrame, schemas: dict[str, dict[str, Any]] | None = None) -
     status = F.when(F.col("kind") == "message", "ok").when(F.col("kind") == "result", "orphan").otherwise(F.concat(F.lit("invalid: "), F.coalesce("fault", F.lit("no conversation"))))
     rows = rows.unionByName(plain.select(*keep, F.lit(0).alias("depth"), turn.alias("at"), status.alias("status")))
 
-    rows = rows.withColumn("span", F.floor(F.col("at") / SPAN).cast("long"))
-    before = Window.partitionBy("conv_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy("conv_id", "span").agg(F.count("*").alias("n")).select("conv_id", "span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    # The key has no nulls, so that window and join need the rows dealt only once.
+    rows = rows.withColumns({"span": F.floor(F.col("at") / SPAN).cast("long"), "key": F.coalesce(F.col("conv_id").cast("string"), F.lit(""))})
+    before = Window.partitionBy("key").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("key", "span").agg(F.count("*").alias("n")).select("key", "span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     # Messages of a turn first, then calls by depth, each before its result; a cycle's calls last.
     depth = F.when(F.col("depth") < 0, 1 << 30).otherwise(F.col("depth"))
-    within = Window.partitionBy("conv_id", "span").orderBy("at", (F.col("kind") != "message").cast("int"), depth, (F.col("kind") == "result").cast("int"), "turn", "part", "json")
-    numbered = rows.withColumn("row", F.row_number().over(within)).alias("r")
-    numbered = numbered.join(counts.alias("c"), F.col("r.conv_id").eqNullSafe(F.col("c.conv_id")) & (F.col("r.span") == F.col("c.span")))
-    return numbered.select("r.conv_id", "turn", "part", "kind", "call_id", F.col("depth").cast("int"), "status", (F.col("offset") + F.col("row") - 1).cast("long").alias("position"), "json")
+    within = Window.partitionBy("key", "span").orderBy("at", (F.col("kind") != "message").cast("int"), depth, (F.col("kind") == "result").cast("int"), "turn", "part", "json")
+    numbered = rows.withColumn("row", F.row_number().over(within)).join(counts, ["key", "span"])
+    return numbered.select("conv_id", "turn", "part", "kind", "call_id", F.col("depth").cast("int"), "status", (F.col("offset") + F.col("row") - 1).cast("long").alias("position"), "json")
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
