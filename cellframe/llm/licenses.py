@@ -14,7 +14,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.llm.base import ascii_lower, let, sf_table
+from cellframe.llm.base import ascii_lower, let, placed, sf_table
 
 #: Between words: everything of ASCII but digits and letters. Applied to text whose A-Z are in lower case.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -129,18 +129,10 @@ def _detections(line: Column, known: list[Rule]) -> Column:
     def spans(r: Column) -> Column:
         found, between = F.regexp_extract_all(line, r["pattern"], F.lit(0)), F.split(line, r["pattern"], -1)
 
-        def placed(pair: Column) -> Column:
-            start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
+        def one(i: Column, first: Column, last: Column) -> Column:
+            return F.array(F.struct(first.alias("first"), last.alias("last"), r["rank"].alias("rank"), r["label"].alias("label"), r["score"].alias("score")))
 
-            def step(acc: Column, x: Column) -> Column:
-                first = acc["at"] + F.length(x["1"])
-                last = first + F.length(x["0"])
-                one = F.struct(first.alias("first"), last.alias("last"), r["rank"].alias("rank"), r["label"].alias("label"), r["score"].alias("score"))
-                return F.struct(last.alias("at"), F.concat(acc["spans"], F.array(one)).alias("spans"))
-
-            return F.aggregate(F.filter(pair, lambda x: x["0"].isNotNull()), start, step, lambda acc: acc["spans"])
-
-        return let(F.arrays_zip(found.alias("0"), between.alias("1")), placed)
+        return let(found, lambda f: let(between, lambda g: placed(f, g, one, _SPAN)))
 
     return F.array_sort(F.flatten(F.transform(F.filter(table, lambda r: F.contains(line, r["keyword"])), spans)), _in_sweep)
 

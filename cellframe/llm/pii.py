@@ -18,7 +18,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellframe.llm.base import let, sf_table, written
+from cellframe.llm.base import let, placed, sf_table
+from cellframe.sources.scratch import written
 
 
 class Kind(NamedTuple):
@@ -40,7 +41,7 @@ KINDS = (
     Kind("ip", r"[0-9]\.[0-9]", r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", r"^(?:0|[1-9][0-9]{0,2})(?:\.(?:0|[1-9][0-9]{0,2})){3}$", r"^(?!0\.|127\.|255\.)", r"(?i)\bip\b|address|server|host|login|adresse", True),
     Kind("card", r"[0-9][ -]?[0-9]", r"[0-9](?:[\x20-]?[0-9])++", r"^[0-9]{12,19}$|^[0-9]{4}(?:[ -][0-9]{4}){3}$", r"^(?:4|5[1-5]|2[2-7]|3[47]|6)", r"(?i)card|visa|credit|payment|karte|carte|tarjeta", True),
     Kind("phone", r"\+", r"\+[0-9][\x20().0-9-]+[0-9]", r"^\+[0-9]{1,3}[ .(-]", r"^\+(?:1|33|34|44|49|39|31|41|43|86|91|81)\b", r"(?i)phone|call|tel|mobile|fax|telefon|tél", True),
-    Kind("secret", r"AKIA|ghp_|sk-|[=:]", r"AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,}|(?:password|passwd|secret|token|api_?key)[=:][^\x20\x09-\x0D]{6,}", r"^(?:AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36})$|[=:][0-9a-f]{8,}$", r"^(?:AKIA|ghp_|sk-|password|token|api)", r"(?i)key|secret|token|password|login"),
+    Kind("secret", r"AKIA|ghp_|sk-|[=:]", r"AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36}|sk-[0-9A-Za-z]{20,}|(?:password|passwd|secret|token|api_?key)[\x20\x09]*[=:][\x20\x09]*[\"']?[^\x20\x09-\x0D\"']{6,}[\"']?", r"^(?:AKIA[0-9A-Z]{16}|ghp_[0-9A-Za-z]{36})$|[=:][\x20\x09]*[\"']?[0-9A-Za-z+/_-]{8,}[\"']?$", r"^(?:AKIA|ghp_|sk-|password|token|api)", r"(?i)key|secret|token|password|login"),
     Kind("local_phone", r"[0-9]{3}[-. )]", r"(?<![0-9+)(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-.])[0-9]{3}[-.][0-9]{4}(?![0-9-])", r"^\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}$|^[0-9]{3}-[0-9]{3}-[0-9]{4}$", r"^\(?[2-9]", r"(?i)phone|call|tel|mobile|fax"),
     Kind("national_id", r"[0-9]-[0-9]", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", r"^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)", r"^[0-7]", r"(?i)ssn|social|security|\bid\b"),
     Kind("iban", r"[A-Z]{2}[0-9]{2}", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Za-z0-9])", r"^[A-Z]{2}[0-9]{2}(?: ?[0-9]{4}){3,6}", r"^(?:DE|FR|ES|GB|IT|NL|CH|AT|BE)", r"(?i)iban|bank|konto|account|compte|cuenta"),
@@ -91,25 +92,20 @@ def _spans(text: Column, number: int, kind: Kind) -> Column:
     """Spans of one kind, with votes (a character for each labeler, - for none) and shape."""
 
     def all_of(found: Column) -> Column:
-        def placed(gaps: Column) -> Column:
-            none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("spans"))
-
-            def step(acc: Column, i: Column) -> Column:
+        def spans(gaps: Column) -> Column:
+            def one(i: Column, first: Column, last: Column) -> Column:
                 value, before, after = F.get(found, i), F.get(gaps, i), F.get(gaps, i + 1)
-                first = acc["at"] + F.length(before)
-                last = first + F.length(value)
                 border = ~F.substring(before, -1, 1).rlike("[A-Za-z0-9]") & ~F.substring(after, 1, 1).rlike("[A-Za-z0-9]")
                 context = F.when(F.substring(before, -NEAR, NEAR).rlike(kind.context), "1").otherwise("-")
                 votes = F.concat(_vote(value.rlike(kind.strict)), _vote(value.rlike(kind.known)), context, _vote(border))
                 n = F.length(_digits(value))
                 shape = F.concat_ws("|", F.least(F.length(value) / 4, F.lit(9)).cast("int"), (4 * n / F.length(value)).cast("int"), value.rlike("[A-Z]").cast("int"))
-                one = F.struct(F.lit(number).alias("kind"), first.alias("first"), last.alias("last"), F.lit(kind.base).alias("base"), votes.alias("votes"), shape.alias("shape"))
-                kept = F.when(_valid(kind, value), F.concat(acc["spans"], F.array(one))).otherwise(acc["spans"])
-                return F.struct(last.alias("at"), kept.alias("spans"))
+                span = F.struct(F.lit(number).alias("kind"), first.alias("first"), last.alias("last"), F.lit(kind.base).alias("base"), votes.alias("votes"), shape.alias("shape"))
+                return F.when(_valid(kind, value), F.array(span)).otherwise(F.array().cast(f"array<{_SPAN}>"))
 
-            return F.aggregate(F.sequence(F.lit(0), F.size(found) - 1), none, step, lambda acc: acc["spans"])
+            return placed(found, gaps, one, _SPAN)
 
-        return F.when(F.size(found) > 0, let(F.split(text, kind.pattern, -1), placed))
+        return F.when(F.size(found) > 0, let(F.split(text, kind.pattern, -1), spans))
 
     return F.when(text.rlike(kind.gate), let(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), all_of))
 
