@@ -14,9 +14,11 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from cellframe.sources.io import load_metadata, save_metadata
+
 #: Parts of the score's order within which windows run, so that no task ranks all rows.
 PARTS = 512
 
@@ -142,6 +144,37 @@ def scored(model: PipelineModel, df: DataFrame, keep: Sequence[str], name: str =
     return model.transform(df).select(*keep, vector_to_array("probability")[1].alias(name))
 
 
+def train_types(df: DataFrame, features: Sequence[str], label: str, kind: str, make: Callable[[], object], least: int = 5) -> dict[str, PipelineModel]:
+    """A model for each type with enough positives: its own positives against all negatives. Others are skipped."""
+    counts = df.where(F.col(label) == 1).groupBy(kind).count().collect()
+    out = {}
+    for name in sorted(r[kind] for r in counts if r[kind] is not None and r["count"] >= least):
+        rows = df.where((F.col(label) == 0) | (F.col(kind) == name))
+        out[name] = fit(rows, features, label, make())
+    return out
+
+
+def scored_by_all(bundle: dict[str, PipelineModel], df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """keep and a probability column for each type, one pass over the rows; `best` is the largest."""
+    out = df
+    for name, model in bundle.items():
+        made = [c for c in model.transform(out.limit(0)).columns if c not in out.columns]
+        out = model.transform(out).withColumn(f"prob_{name}", vector_to_array("probability")[1]).drop(*made)
+    probs = [f"prob_{name}" for name in bundle]
+    best = F.greatest(*probs) if len(probs) > 1 else F.col(probs[0])
+    return out.select(*keep, *probs, best.alias("best"))
+
+
+def save_bundle(path: str, model: PipelineModel, features: Sequence[str], categorical: Sequence[str] = (), windows: Sequence[int] = ()) -> None:
+    """A model with the order of its features, which of them are categories, and its windows."""
+    model.write().overwrite().save(f"{path}/model")
+    save_metadata(SparkSession.active(), f"{path}/metadata", features=list(features), categorical=list(categorical), windows=list(windows))
+
+
+def load_bundle(spark: SparkSession, path: str) -> tuple[PipelineModel, dict]:
+    return PipelineModel.load(f"{path}/model"), load_metadata(spark, f"{path}/metadata")
+
+
 def cross_validated(df: DataFrame, features: Sequence[str], label: str, fold: str, make: Callable[[], object], folds: int) -> list[float]:
     """AUC of each fold by a model of the others; folds with one class are left out."""
     out = []

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Mapping, Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import asdict, dataclass, field
 from typing import Any
 
@@ -181,6 +182,27 @@ def write_version(df: DataFrame, root: str) -> str:
     return out
 
 
+def retried(call: Callable[[], Any], tries: int = 5, wait: float = 10.0, sleep: Callable[[float], None] = time.sleep) -> Any:
+    """call(), again after failures with waits that double; the last failure is raised. For catalogs outside Spark."""
+    for k in range(tries):
+        try:
+            return call()
+        except Exception:
+            if k == tries - 1:
+                raise
+            sleep(wait * 2**k)
+
+
+def paged(fetch: Callable[[int], Sequence[Any]], most: int = 100) -> list[Any]:
+    """Items of a paged catalog, fetch(page) from 0 on, up to most; an empty page ends it."""
+    out: list[Any] = []
+    page = 0
+    while len(out) < most and (items := retried(lambda: fetch(page))):
+        out += items
+        page += 1
+    return out[:most]
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether a stage's output is complete."""
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")

@@ -139,6 +139,22 @@ def test_csv_versions_metadata(spark, tmp_path):
     assert io.rename_assets(spark.createDataFrame([(1,)], "blue int")).columns == ["B02"]
 
 
+def test_catalog_retries_and_pages():
+    waits, calls = [], []
+
+    def flaky():
+        calls.append(1)
+        if len(calls) < 3:
+            raise OSError
+        return "ok"
+
+    assert io.retried(flaky, sleep=waits.append) == "ok" and waits == [10.0, 20.0]
+    with pytest.raises(ZeroDivisionError):
+        io.retried(lambda: 1 / 0, tries=2, sleep=waits.append)
+    pages = [[1, 2], [3, 4], [5]]
+    assert io.paged(lambda k: pages[k] if k < 3 else [], 4) == [1, 2, 3, 4] and io.paged(lambda k: pages[k] if k < 3 else []) == [1, 2, 3, 4, 5]
+
+
 def test_greedy_coverage_equals_a_loop(spark, sf):
     from cellframe.plans.rasters import greedy_coverage
 

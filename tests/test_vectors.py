@@ -158,6 +158,19 @@ def test_models_train_and_round_trip(spark, tmp_path):
     assert models.tuned(df, ("a", "b"), "y", 1, (2,), (0.1,)) is not None
 
 
+def test_models_by_type(spark, tmp_path):
+    df = spark.range(300).select("id", F.rand(1).alias("a"), F.rand(2).alias("b"))
+    df = df.withColumn("y", (F.col("a") > 0.5).cast("double")).withColumn("kind", F.when(F.col("y") == 1, F.when(F.col("b") > 0.5, "p").when(F.col("id") < 150, "q").otherwise("p")))
+    rare = df.withColumn("kind", F.when(F.col("id") == 0, "rare").otherwise(F.col("kind")))
+    bundle = models.train_types(rare, ("a", "b"), "y", "kind", models.candidates(1)["logistic"])
+    assert sorted(bundle) == ["p", "q"]
+    got = models.scored_by_all(bundle, df, ["id"])
+    assert got.columns == ["id", "prob_p", "prob_q", "best"] and got.where("best < prob_p OR best < prob_q").count() == 0
+    models.save_bundle(f"{tmp_path}/b", bundle["p"], ["a", "b"], windows=[5])
+    model, meta = models.load_bundle(spark, f"{tmp_path}/b")
+    assert meta == {"features": ["a", "b"], "categorical": [], "windows": [5]} and models.scored(model, df, ["id"]).count() == 300
+
+
 def test_run_skips_what_is_done(spark, sf, tmp_path):
     from cellframe.plans import runs
     from cellframe.sources.io import Config, html_map, load_metadata
