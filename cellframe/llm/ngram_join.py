@@ -136,50 +136,70 @@ def _proposals(rows: DataFrame, which: str) -> DataFrame:
     def need(n: np.ndarray, m: np.ndarray) -> np.ndarray:
         return -(-NUM * (n + m) // (NUM + DEN))
 
-    def pairs(g: np.ndarray, rest: np.ndarray, n: np.ndarray, c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def of_list(g: np.ndarray, rest: np.ndarray, n: np.ndarray, c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if which == "all":
             for i in range(1, len(g)):
                 lo = int(np.searchsorted(DEN * n[:i], NUM * n[i]))
                 other = lo + np.flatnonzero((c[lo:i] != c[i]) & (np.minimum(rest[lo:i], rest[i]) >= need(n[lo:i], n[i])))
                 if len(other):
                     yield g[other], np.full(len(other), g[i])
-            return
-        if which == "centre":
-            hub = np.full(len(g), np.argmax(rest / n))
         else:  # the last row of at most DEN / NUM of its size
             hub = np.searchsorted(NUM * n, DEN * n, side="right") - 1
-        ok = (c != c[hub]) & (np.minimum(rest, rest[hub]) >= need(n, n[hub]))
-        yield g[hub[ok]], g[ok]
+            ok = (c != c[hub]) & (np.minimum(rest, rest[hub]) >= need(n, n[hub]))
+            yield g[hub[ok]], g[ok]
+
+    def of_lists(cols: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of whole lists that lie one after another; lists of one component are passed over."""
+        starts = np.concatenate([[0], np.flatnonzero(np.diff(cols[0])) + 1])
+        apart = np.minimum.reduceat(cols[4], starts) != np.maximum.reduceat(cols[4], starts)
+        size = np.diff(starts, append=len(cols[0]))
+        _, g, rest, n, c = (x[np.repeat(apart, size)] for x in cols)
+        size = size[apart]
+        ends = np.cumsum(size)
+        if which == "centre":
+            which_list = np.repeat(np.arange(len(size)), size)
+            best = np.lexsort((-rest / n, which_list))[ends - size]
+            hub = np.repeat(best, size)
+            ok = (c != c[hub]) & (np.minimum(rest, rest[hub]) >= need(n, n[hub]))
+            yield g[hub[ok]], g[ok]
+        else:
+            for lo, hi in zip((ends - size).tolist(), ends.tolist(), strict=True):
+                yield from of_list(g[lo:hi], rest[lo:hi], n[lo:hi], c[lo:hi])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def whole_lists() -> Iterator[tuple[np.ndarray, ...]]:
+        def proposed() -> Iterator[tuple[np.ndarray, np.ndarray]]:
             held = [np.empty(0, np.int64)] * 5
             for batch in batches:
                 cols = [np.concatenate([h, batch[k].to_numpy().astype(np.int64)]) for h, k in zip(held, ("token", "gid", "rest", "n", "comp"), strict=True)]
                 if not len(cols[0]):
                     continue
-                edges = np.flatnonzero(np.diff(cols[0])) + 1
-                starts = np.concatenate([[0], edges])
-                for lo, hi in zip(starts[:-1], starts[1:], strict=True):
-                    yield tuple(x[lo:hi] for x in cols)
-                held = [x[starts[-1] :] for x in cols]
+                last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last list may go on
+                if last:
+                    yield from of_lists([x[:last] for x in cols])
+                held = [x[last:] for x in cols]
             if len(held[0]):
-                yield tuple(held)
-
-        seen: set[tuple[int, int]] = set()
-        for _, g, rest, n, c in whole_lists():
-            if len(g) < 2 or (c == c[0]).all():
-                continue
-            for a, b in pairs(g, rest, n, c):
-                new = []
-                for x in zip(np.minimum(a, b).tolist(), np.maximum(a, b).tolist(), strict=True):
-                    if x not in seen:
-                        new.append(x)
-                if len(seen) > 500_000:  # only spares repeats; distinct() removes the rest
-                    seen.clear()
-                seen.update(new)
-                if new:
-                    yield pa.record_batch({"g1": pa.array([x[0] for x in new], pa.int64()), "g2": pa.array([x[1] for x in new], pa.int64())})
+                yield from of_lists(held)
+
+        def once(parts: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+            a, b = (np.concatenate(x) for x in zip(*parts, strict=True))
+            g1, g2 = np.minimum(a, b), np.maximum(a, b)
+            at = np.lexsort((g2, g1))
+            g1, g2 = g1[at], g2[at]
+            new = np.concatenate([[True], (g1[1:] != g1[:-1]) | (g2[1:] != g2[:-1])])
+            return pa.record_batch({"g1": pa.array(g1[new]), "g2": pa.array(g2[new])})
+
+        parts, size = [], 0
+        for a, b in proposed():
+            if len(a):
+                parts.append((a, b))
+                size += len(a)
+            if len(parts) >= 20_000:
+                parts = [tuple(np.concatenate(x) for x in zip(*parts, strict=True))]
+            if size >= 500_000:  # only spares repeats; distinct() removes the rest
+                yield once(parts)
+                parts, size = [], 0
+        if parts:
+            yield once(parts)
 
     return rows.repartition("token").sortWithinPartitions("token", "n", "gid").mapInArrow(run, "g1 long, g2 long").distinct()
 
