@@ -1,6 +1,6 @@
 """License scans: ordered signature rules over normalised words.
 
-A text that shows no license keyword at all stops at one gate. In the others, a rule's regex runs only where its own
+A text that shows no mark of any rule stops at one gate. In the others, a rule's regex runs only where its own
 keyword stands. Overlapping detections are resolved in one sweep: what lies within a kept detection goes, and of two that
 cut into each other the one of the earlier rule stays.
 
@@ -20,7 +20,9 @@ from cellframe.llm.base import ascii_lower, let, placed, sf_table
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same for text in either case.
 GAPS_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-GATE = r"(?i)licen[sc]|copyright|copyleft|spdx|creativecommons|creative commons|public domain|cc[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+by"
+#: What a text must hold for any rule or base phrase to match: each pattern has one of these (see test_every_rule_fires).
+MARKS = ("licen[sc]", "released under", "spdx", "creativecommons", "creative commons", "public domain", "rights reserved", "cc0", "cc by")
+GATE = "(?i)" + "|".join(m.replace(" ", GAPS_ANY_CASE) for m in MARKS)
 
 #: Base phrases and their labels (fixed values).
 BASE = (("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit"))

@@ -1,3 +1,4 @@
+import itertools
 import re
 
 from cellframe.llm import licenses
@@ -43,6 +44,25 @@ def test_rules_resolve(spark):
     assert len(licenses.rules()) > 200
 
 
+def phrases(pattern):
+    """Texts that a rule's pattern matches, without its optional parts."""
+    p = pattern.replace("(?= )", "").replace(r"\w+", "heck")
+    while (q := re.sub(r"\(\?:[^()]*\)\?", "", p)) != p:
+        p = q
+    p = re.sub(r"\w\?", "", p)
+    parts = [x.split("|") if i % 2 else [x] for i, x in enumerate(re.split(r"\(\?:([^()]*)\)", p.replace("[sc]", "(?:s|c)")))]
+    return ["".join(x).strip() for x in itertools.product(*parts)]
+
+
+def test_every_rule_fires(spark):
+    first = {}
+    for r in licenses.rules():
+        first.setdefault(r.pattern, r)  # of equal patterns the earlier rule wins
+    want = [(text.replace(" ", gap), r) for r in first.values() for text in phrases(r.pattern) for gap in (" ", "  ", ",\n-")]
+    got = {r["doc_id"]: r for r in licenses.scanned(spark.createDataFrame([(i, t.title()) for i, (t, _) in enumerate(want)], "doc_id long, text string")).collect()}
+    assert [(t, r.label) for i, (t, r) in enumerate(want) if r.label not in got[i]["labels"].split(",") or got[i]["score"] < r.score] == []
+
+
 def test_edge_tables(odd_docs, no_docs):
     assert licenses.scanned(odd_docs).count() == odd_docs.count()
     assert licenses.scanned(no_docs).count() == 0
