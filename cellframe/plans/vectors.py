@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellframe.functions.geometry import box_overlap, edges_of_boxes, polygon_measures, project
 from cellframe.operators import labels, spatial
+from cellframe.plans.rasters import _height
 from cellframe.sources import io
 from cellframe.sources.fixtures import view, with_views
 
@@ -156,6 +159,25 @@ def bilinear_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("dem", F.round("dem", 6))
 
 
+_COARSE = "(SELECT unnest(range(CAST(ceil((max(row_id) + 1) / 1.5e0) AS BIGINT) * 33)) AS i FROM grid)"
+
+
+@query(with_views(f"SELECT CAST(i // 33 AS INTEGER) AS row_id, CAST(i % 33 AS INTEGER) AS col_id, dem FROM {_COARSE} t LEFT JOIN grid ON row_id = floor((i // 33 + 0.5e0) * 1.5e0) AND col_id = floor((i % 33 + 0.5e0) * 1.5e0)", "grid"))
+def nearest_resample_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """nearest_resample over all rows of the grid."""
+    return spatial.nearest_resample(view(spark, sf_dir, "grid"), "dem", 1.5, ceil(_height(spark, sf_dir) / 1.5), 33)
+
+
+@query(with_views(f""", t AS (SELECT i // 33 AS r, i % 33 AS c, (i // 33 + 0.5e0) * 1.5e0 - 0.5e0 AS fr, (i % 33 + 0.5e0) * 1.5e0 - 0.5e0 AS fc FROM {_COARSE}
+), n AS (SELECT r, c, floor(fr) + i AS sr, floor(fc) + j AS sc, (CASE WHEN i = 0 THEN 1 - (fr - floor(fr)) ELSE fr - floor(fr) END) * (CASE WHEN j = 0 THEN 1 - (fc - floor(fc)) ELSE fc - floor(fc) END) AS w
+  FROM t, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j)), s AS (SELECT r, c, sum(dem * w) AS s, sum(CASE WHEN dem IS NOT NULL THEN w END) AS w FROM n LEFT JOIN grid ON row_id = sr AND col_id = sc GROUP BY 1, 2)
+SELECT CAST(r AS INTEGER) AS row_id, CAST(c AS INTEGER) AS col_id, CASE WHEN w > 0 THEN round(s / w, 6) END AS dem FROM s""", "grid"))
+def bilinear_resample_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """bilinear_resample over all rows of the grid."""
+    out = spatial.bilinear_resample(view(spark, sf_dir, "grid"), "dem", 1.5, ceil(_height(spark, sf_dir) / 1.5), 33)
+    return out.withColumn("dem", F.round("dem", 6))
+
+
 @query(with_views(""", l AS (SELECT *, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) AS len FROM fault_lines), n AS (SELECT *, greatest(2, CAST(floor(len / 1.5e0) AS BIGINT)) AS n FROM l), p AS (SELECT *, unnest(range(n)) AS i FROM n WHERE len > 0)
 SELECT feature_id, CAST(i AS INTEGER) AS i, round(x1 + (i * 1.0e0 / (n - 1)) * (x2 - x1), 6) AS x, round(y1 + (i * 1.0e0 / (n - 1)) * (y2 - y1), 6) AS y FROM p""", "fault_lines"))
 def line_densify(spark: SparkSession, sf_dir: str) -> DataFrame:
