@@ -349,6 +349,14 @@ def gaussian_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(focal.gaussian_surface(p, "v", 1.5, _height(spark, sf_dir), 50), "surface")
 
 
+@query(with_views(f""", k(d, w) AS (VALUES {_KERNEL}), p AS (SELECT row_id, col_id, sum(v) AS num, CAST(count(v) AS DOUBLE) AS den FROM grid GROUP BY 1, 2
+), h AS (SELECT max(row_id) AS hr FROM grid), s AS (SELECT p.row_id + a.d AS row_id, p.col_id + b.d AS col_id, sum(num * a.w * b.w) AS num, sum(den * a.w * b.w) AS den FROM p, k a, k b GROUP BY 1, 2)
+SELECT CAST(row_id AS INTEGER) AS row_id, CAST(col_id AS INTEGER) AS col_id, round(CASE WHEN den > 1e-8 THEN num / den ELSE 0 END, 6) AS surface FROM s, h WHERE row_id BETWEEN 0 AND hr AND col_id BETWEEN 0 AND 49""", "grid"))
+def gaussian_surface_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """gaussian_surface of every cell."""
+    return r6(focal.gaussian_surface(view(spark, sf_dir, "grid"), "v", 1.5, _height(spark, sf_dir), 50), "surface")
+
+
 @query(with_views(""", p AS (SELECT row_id, col_id, v FROM grid WHERE (row_id * 50 + col_id) % 13 = 0), o AS (SELECT unnest(range(-3, 3)) AS d), h AS (SELECT max(row_id) AS hr FROM grid)
 SELECT CAST(row_id + a.d AS INTEGER) AS row_id, CAST(col_id + b.d AS INTEGER) AS col_id, max(v) AS surface FROM p, h, o a, o b WHERE row_id + a.d BETWEEN 0 AND hr AND col_id + b.d BETWEEN 0 AND 49 GROUP BY row_id + a.d, col_id + b.d""", "grid"))
 def block_max_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,6 +364,13 @@ def block_max_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
     return focal.block_max_surface(p, "v", 6, _height(spark, sf_dir), 50)
 
 
+@query(with_views(""", o AS (SELECT unnest(range(-3, 3)) AS d), h AS (SELECT max(row_id) AS hr FROM grid)
+SELECT CAST(row_id + a.d AS INTEGER) AS row_id, CAST(col_id + b.d AS INTEGER) AS col_id, max(v) AS surface FROM grid, h, o a, o b WHERE row_id + a.d BETWEEN 0 AND hr AND col_id + b.d BETWEEN 0 AND 49 GROUP BY row_id + a.d, col_id + b.d""", "grid"))
+def block_max_surface_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """block_max_surface of every cell."""
+    return focal.block_max_surface(view(spark, sf_dir, "grid").select("row_id", "col_id", "v"), "v", 6, _height(spark, sf_dir), 50)
+
+
 @query(with_views(""", f AS (SELECT a.row_id, a.col_id, sum(b.dem / ((a.row_id - b.row_id) ** 2 + (a.col_id - b.col_id) ** 2)) / sum(1 / ((a.row_id - b.row_id) ** 2 + (a.col_id - b.col_id) ** 2)) AS z
   FROM grid a JOIN grid b ON a.dem IS NULL AND b.dem IS NOT NULL AND b.row_id BETWEEN a.row_id - 4 AND a.row_id + 4 AND (a.row_id - b.row_id) ** 2 + (a.col_id - b.col_id) ** 2 <= 16 GROUP BY 1, 2)
 SELECT row_id, col_id, round(coalesce(dem, z), 6) AS dem, dem IS NULL AND z IS NOT NULL AS filled FROM grid LEFT JOIN f USING (row_id, col_id)""", "grid"))

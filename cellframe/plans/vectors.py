@@ -137,6 +137,14 @@ def exclusion_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.exclude_near(view(spark, sf_dir, "points").select("id", "x", "y"), lines, 1.5).select("id")
 
 
+@query(with_views(""", d AS (SELECT id, min((x - (x1 + t * (x2 - x1))) ** 2 + (y - (y1 + t * (y2 - y1))) ** 2) AS d2 FROM (
+  SELECT *, greatest(0, least(1, coalesce(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / nullif((x2 - x1) ** 2 + (y2 - y1) ** 2, 0), 0))) AS t FROM points, fault_lines) GROUP BY 1)
+SELECT points.id FROM points LEFT JOIN d USING (id) WHERE d2 IS NULL OR d2 > 2.25""", "points", "fault_lines"))
+def exclusion_anti_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """exclusion_anti by every fault line."""
+    return spatial.exclude_near(view(spark, sf_dir, "points").select("id", "x", "y"), view(spark, sf_dir, "fault_lines"), 1.5).select("id")
+
+
 @query(with_views("""SELECT CAST(feature_id AS INTEGER) AS feature_id, count(v) AS n, round(avg(v), 9) AS mean, max(v) AS max FROM grid JOIN zones ON col_id + 0.5 >= x0 AND col_id + 0.5 < x1 AND row_id + 0.5 >= y0 AND row_id + 0.5 < y1 GROUP BY 1""", "grid", "zones"))
 def zonal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = view(spark, sf_dir, "grid")
