@@ -75,7 +75,10 @@ def embedding_cosine_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.cosine_neighbours(v.where("vec_id % 100 = 0"), v, 5).withColumn("cosine", F.round("cosine", 6))
 
 
-FEATURES = ("f0", "f1", "f2", "f3")
+#: One for each value of the embedding.
+FEATURES = tuple(f"f{i}" for i in range(64))
+#: Most boosting rounds; held-out blocks end them earlier.
+ROUNDS = 1000
 
 
 def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +92,7 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated candidates over block folds, and the one chosen."""
     df = labels.group_folds(_training(spark, sf_dir), "block_id", "y", 3, 42)
-    scores = {k: models.cross_validated(df, FEATURES, "y", "fold", make, 3) for k, make in models.candidates(7, scale=0.02).items()}
+    scores = {k: models.cross_validated(df, FEATURES, "y", "fold", make, 3) for k, make in models.candidates(7).items()}
     chosen = models.select_model(scores)
     return models.cv_table(df, scores).withColumn("chosen", F.col("model") == chosen)
 
@@ -103,20 +106,20 @@ def cv_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def rf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _training(spark, sf_dir)
-    return models.scored(models.fit(df, FEATURES, "y", models.candidates(7, scale=0.02)["forest"]()), df, ["vec_id"])
+    return models.scored(models.fit(df, FEATURES, "y", models.candidates(7)["forest"]()), df, ["vec_id"])
 
 
 @query()
 def gbt_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A boosted model that stops on held-out blocks, scoring every patch."""
     df = labels.block_split(_training(spark, sf_dir), "block_id", "y", 42).withColumn("held", F.col("split") != "train")
-    return models.scored(models.early_stopped(df, FEATURES, "y", "held", 7, 10), df, ["vec_id"])
+    return models.scored(models.early_stopped(df, FEATURES, "y", "held", 7, ROUNDS), df, ["vec_id"])
 
 
 @query()
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = _training(spark, sf_dir)
-    return models.importances(models.fit(df, FEATURES, "y", models.candidates(7, scale=0.02)["forest"]()), FEATURES, df)
+    return models.importances(models.fit(df, FEATURES, "y", models.candidates(7)["forest"]()), FEATURES, df)
 
 
 @query(with_views(""", m AS (SELECT id, x AS a, y AS b FROM points WHERE kind = 'BUILDING'), p AS (SELECT m.id, o.id AS neighbour, m.a, m.b, o.a AS oa, o.b AS ob, row_number() OVER (PARTITION BY m.id ORDER BY (m.a - o.a) ** 2 + (m.b - o.b) ** 2, o.id) AS i
