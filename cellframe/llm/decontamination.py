@@ -5,8 +5,9 @@ shingles; an index of eight 8-bit blocks finds every item whose fingerprint is w
 differing bits some block has at most ``RADIUS // 8``; then the weighted Jaccard similarity of whole shingle multisets
 decides. Windows that share no shingle with any item have similarity 0, and are passed over before fingerprinting.
 
-Documents are never shuffled. Items go to the tasks in blocks of ``BLOCK``, so what is sent is bounded; a benchmark of
-more items takes a pass over the documents for each block.
+Documents are never shuffled. Items go to the tasks in blocks of ``BLOCK``; a benchmark of more items takes a pass over the
+documents for each block. Weights are counted over the whole benchmark, so verdicts do not depend on blocks or order; what is
+sent of them is 16 bytes for each shingle that two items or more hold.
 """
 
 from __future__ import annotations
@@ -32,10 +33,27 @@ BLOCK = 20_000
 SPAN = 4096
 
 
+class Weights:
+    """log1p(items / holders) of shingles, over a whole benchmark; what no item holds weighs as much as what one holds."""
+
+    def __init__(self, items: int, shared: np.ndarray, holders: np.ndarray) -> None:
+        """shared: the shingles of two holders or more."""
+        order = np.argsort(shared)
+        self.shared, self.weights = shared[order], np.log1p(items / holders[order].astype(float))
+        self.other = float(np.log1p(items))
+
+    def of(self, s: np.ndarray) -> np.ndarray:
+        if not len(self.shared):
+            return np.full(len(s), self.other)
+        at = np.minimum(np.searchsorted(self.shared, s), len(self.shared) - 1)
+        return np.where(self.shared[at] == s, self.weights[at], self.other)
+
+
 class ItemIndex:
-    """The items of one block: their shingles, weights, and fingerprints by size."""
+    """The items of one block: their shingles, and fingerprints by size."""
 
-    def __init__(self, items: list[tuple[int, bytes]]) -> None:
+    def __init__(self, items: list[tuple[int, bytes]], weights: Weights) -> None:
+        self._weigh = weights.of
         self.ids, self.sizes, shingles = [], [], []
         for (item, _), h in zip(items, word_hashes(text for _, text in items), strict=True):
             if len(h):
@@ -49,8 +67,6 @@ class ItemIndex:
                 where[x].add(i)
         self.known = np.array(sorted(where), np.uint64)
         self.holders = [sorted(where[x]) for x in self.known.tolist()]
-        self.weights = np.log1p(len(self.ids) / np.array([len(x) for x in self.holders], float))
-        self.unknown = float(np.log1p(len(self.ids)))
         self.filled = np.zeros(1 << 22, bool)
         self.filled[bucket_of(self.known)] = True
         self.by_size = {}
@@ -62,12 +78,6 @@ class ItemIndex:
             self.by_size[n] = (np.array(at), prints, [near[:, own[:, b]] for b in range(BLOCKS)])
         self.multisets = [self._multiset(s) for s in shingles]
 
-    def _weigh(self, s: np.ndarray) -> np.ndarray:
-        if not len(self.known):
-            return np.full(len(s), self.unknown)
-        at = np.minimum(np.searchsorted(self.known, s), len(self.known) - 1)
-        return np.where(self.known[at] == s, self.weights[at], self.unknown)
-
     def _multiset(self, s: np.ndarray) -> tuple[dict[int, int], float]:
         values, counts = np.unique(s, return_counts=True)
         return dict(zip(values.tolist(), counts.tolist(), strict=True)), float((self._weigh(values) * counts).sum())
@@ -136,16 +146,33 @@ class ItemIndex:
             at = to
 
 
+def _weights(items: DataFrame) -> Weights:
+    """Items and holders of shingles, counted by Spark; only shared shingles reach the driver."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            held = [np.unique(shingles_at(h, min(K, len(h)))).view(np.int64) for h in word_hashes(text_bytes(batch["text"])) if len(h)]
+            flat = np.concatenate(held) if held else np.zeros(0, np.int64)
+            yield pa.record_batch([pa.concat_arrays([pa.array(flat), pa.nulls(len(held), pa.int64())])], names=["shingle"])  # a null for each item
+
+    counts = items.select("text").mapInArrow(run, "shingle long").groupBy("shingle").count().where("shingle IS NULL OR count > 1").toArrow()
+    shingles, n = counts["shingle"], counts["count"].to_numpy()
+    none = np.array(shingles.is_null())
+    shared = shingles.fill_null(0).to_numpy()[~none].astype(np.int64).view(np.uint64)
+    return Weights(int(n[none].sum()), shared, n[~none])
+
+
 def _blocks(items: DataFrame) -> Iterator[ItemIndex]:
-    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id IS NOT NULL AND text IS NOT NULL").orderBy("item_id", "text")
+    rows = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("item_id IS NOT NULL AND text IS NOT NULL")
+    weights = _weights(rows)
     held: list[tuple[int, bytes]] = []
-    for row in rows.toLocalIterator():
+    for row in rows.orderBy("item_id", "text").toLocalIterator():
         held.append((row[0], row[1].encode()))
         if len(held) == BLOCK:
-            yield ItemIndex(held)
+            yield ItemIndex(held, weights)
             held = []
     if held:
-        yield ItemIndex(held)
+        yield ItemIndex(held, weights)
 
 
 def contaminated_passages(docs: DataFrame, items: DataFrame) -> DataFrame:

@@ -76,6 +76,19 @@ def test_blocks_of_items(spark, sf, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated_passages(docs, items).collect()} == one
 
 
+def test_weights_of_the_whole_benchmark(spark, monkeypatch):
+    template = [f"t{i}" for i in range(24)]
+    items = [(i, " ".join(template + [f"own{i}x{j}" for j in range(20)])) for i in range(8)]
+    docs = [(i, text.replace(f"own{i}x9", "changed")) for i, text in items] + [(100, items[0][1])]
+    want = brute(docs, items)
+    assert want == {(100, 0)}
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    for block in (1, 3, 20):
+        monkeypatch.setattr(decontamination, "BLOCK", block)
+        assert {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated_passages(*tables).collect()} == want
+        assert {r["doc_id"] for r in decontamination.decontaminated(*tables).collect()} == set(range(8))
+
+
 def test_edge_tables(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "abc def abc def abc def abc def abc def"), (None, "x"), (2, None), (3, "")], "item_id long, text string")
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated_passages(odd_docs, items).collect()} == {(9, 1)}
