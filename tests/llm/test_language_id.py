@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -41,6 +42,19 @@ def test_code_switching():
     assert [x for x, _ in got] == ["en", "fr", "und", "und", "und"] and got[1][1] < got[0][1]
 
 
+def test_every_language_is_sampled(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "train", lambda sample: sample)
+    rows = [(100 * k + i, f"word{k} text", f"l{k:02d}") for k in range(70) for i in range(8)]
+    rows += [(10_000 + i, "long words " * 3000, "long") for i in range(400)]
+    rows += [(20_000 + i, None if i % 4 else "short text", "null") for i in range(2000)]
+    rows += [(30_000 + i, "12 34", "und") for i in range(20)] + [(None, "no id", "none"), (1, "two languages", "second")]
+    sample = language_id.learned(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    sizes = Counter(lang for _, lang in sample)
+    assert set(sizes) == {f"l{k:02d}" for k in range(70)} | {"long", "null", "second"}
+    assert sizes["long"] == sizes["null"] == language_id.PER_LANGUAGE
+    assert max(len(text) for text, _ in sample) == language_id.SAMPLE_CHARS
+
+
 def test_edge_tables(spark, odd_docs, no_docs):
     model = language_id.learned(odd_docs)
     rows = language_id.language_id(odd_docs, model).collect()
