@@ -126,7 +126,8 @@ def patch_id_parts(patch_id: Column) -> tuple[Column, Column, Column]:
 
 
 def target_id(kind: Column, rank: Column) -> Column:
-    return F.concat(F.upper(F.substring(kind, 1, 3)), F.lit("-"), F.lpad(rank.cast("string"), 3, "0"))
+    """Three letters and the rank in three digits, or more if it needs them."""
+    return F.when(kind.isNotNull() & rank.isNotNull(), F.format_string("%s-%03d", F.upper(F.substring(kind, 1, 3)), rank))
 
 
 def chunk_key(name: Column) -> Column:

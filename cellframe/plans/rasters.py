@@ -180,10 +180,10 @@ def occurrence_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return io.occurrences(part.select("p_partkey", code.alias("cod_modelo")), "cod_modelo", {"porfiro": 1500.0}).drop("cod_modelo")
 
 
-@query(with_views("""SELECT row_id, col_id, upper(substr(category, 1, 3)) || '-' || lpad(CAST(row_id + 1 AS VARCHAR), 3, '0') AS target_id, format('{}_r{:03d}_c{:03d}', category, row_id, col_id) AS patch_id,
-  split_part('s2_' || category || '_-69.5_' || col_id, '_-', 1) AS layer FROM grid WHERE row_id < 900""", "grid"))
+@query(with_views("""SELECT row_id, col_id, format('{}-{:03d}', upper(substr(category, 1, 3)), row_id + 1) AS target_id, format('{}_r{:03d}_c{:03d}', category, row_id, col_id) AS patch_id,
+  split_part('s2_' || category || '_-69.5_' || col_id, '_-', 1) AS layer FROM grid""", "grid"))
 def id_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = view(spark, sf_dir, "grid").where("row_id < 900")
+    g = view(spark, sf_dir, "grid")
     name = F.concat(F.lit("s2_"), F.col("category"), F.lit("_-69.5_"), F.col("col_id").cast("string"))
     patch = F.format_string("%s_r%03d_c%03d", F.col("category"), F.col("row_id"), F.col("col_id"))
     return g.select("row_id", "col_id", alg.target_id(F.col("category"), F.col("row_id") + 1).alias("target_id"), patch.alias("patch_id"), alg.chunk_key(name).alias("layer"))
@@ -341,33 +341,16 @@ def curvature(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KERNEL = ", ".join(f"({d}, {w!r})" for d, w in focal.kernel(1.5))
 
 
-@query(with_views(f""", k(d, w) AS (VALUES {_KERNEL}), p AS (SELECT row_id, col_id, sum(v) AS num, CAST(count(v) AS DOUBLE) AS den FROM grid WHERE (row_id * 50 + col_id) % 23 = 0 GROUP BY 1, 2
-), h AS (SELECT max(row_id) AS hr FROM grid), s AS (SELECT p.row_id + a.d AS row_id, p.col_id + b.d AS col_id, sum(num * a.w * b.w) AS num, sum(den * a.w * b.w) AS den FROM p, k a, k b GROUP BY 1, 2)
-SELECT CAST(row_id AS INTEGER) AS row_id, CAST(col_id AS INTEGER) AS col_id, round(CASE WHEN den > 1e-8 THEN num / den ELSE 0 END, 6) AS surface FROM s, h WHERE row_id BETWEEN 0 AND hr AND col_id BETWEEN 0 AND 49""", "grid"))
-def gaussian_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = view(spark, sf_dir, "grid").where("(row_id * 50 + col_id) % 23 = 0")
-    return r6(focal.gaussian_surface(p, "v", 1.5, _height(spark, sf_dir), 50), "surface")
-
-
 @query(with_views(f""", k(d, w) AS (VALUES {_KERNEL}), p AS (SELECT row_id, col_id, sum(v) AS num, CAST(count(v) AS DOUBLE) AS den FROM grid GROUP BY 1, 2
 ), h AS (SELECT max(row_id) AS hr FROM grid), s AS (SELECT p.row_id + a.d AS row_id, p.col_id + b.d AS col_id, sum(num * a.w * b.w) AS num, sum(den * a.w * b.w) AS den FROM p, k a, k b GROUP BY 1, 2)
 SELECT CAST(row_id AS INTEGER) AS row_id, CAST(col_id AS INTEGER) AS col_id, round(CASE WHEN den > 1e-8 THEN num / den ELSE 0 END, 6) AS surface FROM s, h WHERE row_id BETWEEN 0 AND hr AND col_id BETWEEN 0 AND 49""", "grid"))
-def gaussian_surface_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """gaussian_surface of every cell."""
+def gaussian_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
     return r6(focal.gaussian_surface(view(spark, sf_dir, "grid"), "v", 1.5, _height(spark, sf_dir), 50), "surface")
 
 
-@query(with_views(""", p AS (SELECT row_id, col_id, v FROM grid WHERE (row_id * 50 + col_id) % 13 = 0), o AS (SELECT unnest(range(-3, 3)) AS d), h AS (SELECT max(row_id) AS hr FROM grid)
-SELECT CAST(row_id + a.d AS INTEGER) AS row_id, CAST(col_id + b.d AS INTEGER) AS col_id, max(v) AS surface FROM p, h, o a, o b WHERE row_id + a.d BETWEEN 0 AND hr AND col_id + b.d BETWEEN 0 AND 49 GROUP BY row_id + a.d, col_id + b.d""", "grid"))
-def block_max_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = view(spark, sf_dir, "grid").where("(row_id * 50 + col_id) % 13 = 0").select("row_id", "col_id", "v")
-    return focal.block_max_surface(p, "v", 6, _height(spark, sf_dir), 50)
-
-
 @query(with_views(""", o AS (SELECT unnest(range(-3, 3)) AS d), h AS (SELECT max(row_id) AS hr FROM grid)
 SELECT CAST(row_id + a.d AS INTEGER) AS row_id, CAST(col_id + b.d AS INTEGER) AS col_id, max(v) AS surface FROM grid, h, o a, o b WHERE row_id + a.d BETWEEN 0 AND hr AND col_id + b.d BETWEEN 0 AND 49 GROUP BY row_id + a.d, col_id + b.d""", "grid"))
-def block_max_surface_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """block_max_surface of every cell."""
+def block_max_surface(spark: SparkSession, sf_dir: str) -> DataFrame:
     return focal.block_max_surface(view(spark, sf_dir, "grid").select("row_id", "col_id", "v"), "v", 6, _height(spark, sf_dir), 50)
 
 

@@ -9,6 +9,7 @@ from cellframe.functions import algebra as alg
 from cellframe.operators import labels, models, targets
 from cellframe.operators.composite import dry_and_clear, median_composite
 from cellframe.sources.fixtures import view, with_views
+from cellframe.sources.scratch import written
 
 QUERIES, ORACLES = {}, {}
 
@@ -63,9 +64,9 @@ def embedding_mean_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.mean_pool(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "embedding", "label").withColumn("value", F.round("value", 6))
 
 
-@query("SELECT vec_id, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS emb_{i}" for i in range(8)) + " FROM embeddings")
+@query("SELECT vec_id, " + ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS emb_{i}" for i in range(64)) + " FROM embeddings")
 def embedding_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.embedding_columns(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "embedding", 8, ["vec_id"])
+    return models.embedding_columns(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), "embedding", 64, ["vec_id"])
 
 
 @query("""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings), c AS (SELECT q.vec_id AS query, v.vec_id AS neighbour, round(list_cosine_similarity(q.e, v.e), 6) AS cosine, row_number() OVER (PARTITION BY q.vec_id ORDER BY round(list_cosine_similarity(q.e, v.e), 9) DESC, v.vec_id) AS rank
@@ -91,7 +92,7 @@ def _training(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def model_select(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cross-validated candidates over block folds, and the one chosen."""
-    df = labels.group_folds(_training(spark, sf_dir), "block_id", "y", 3, 42)
+    df = written(labels.group_folds(_training(spark, sf_dir), "block_id", "y", 3, 42), "folds")
     scores = {k: models.cross_validated(df, FEATURES, "y", "fold", make, 3) for k, make in models.candidates(7).items()}
     chosen = models.select_model(scores)
     return models.cv_table(df, scores).withColumn("chosen", F.col("model") == chosen)
@@ -99,7 +100,7 @@ def model_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def cv_auc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = labels.group_folds(_training(spark, sf_dir), "block_id", "y", 3, 1)
+    df = written(labels.group_folds(_training(spark, sf_dir), "block_id", "y", 3, 1), "folds")
     return models.cv_table(df, {"logistic": models.cross_validated(df, FEATURES, "y", "fold", models.candidates(7)["logistic"], 3)})
 
 
@@ -168,7 +169,7 @@ def top_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top(spark, sf_dir, 50).select("component", "cells", "area_km2", "mean_prob", "max_prob", "score", "deposit_type", "rank")
 
 
-@query(with_views(f", {_TOP} SELECT upper(substr(deposit_type, 1, 3)) || '-' || lpad(CAST(rank AS VARCHAR), 3, '0') AS target_id, deposit_type, CAST(rank AS INTEGER) AS rank, area_km2, mean_prob, max_prob, score FROM rk WHERE rank <= 10 ORDER BY deposit_type, rank", "grid").replace("WITH ", "WITH RECURSIVE ", 1))
+@query(with_views(f", {_TOP} SELECT format('{{}}-{{:03d}}', upper(substr(deposit_type, 1, 3)), rank) AS target_id, deposit_type, CAST(rank AS INTEGER) AS rank, area_km2, mean_prob, max_prob, score FROM rk WHERE rank <= 10 ORDER BY deposit_type, rank", "grid").replace("WITH ", "WITH RECURSIVE ", 1))
 def ranking_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _top(spark, sf_dir, 10).orderBy("deposit_type", "rank")
     return out.select("target_id", "deposit_type", "rank", "area_km2", "mean_prob", "max_prob", "score")

@@ -48,17 +48,17 @@ def point_in_closed_zone(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.containing(view(spark, sf_dir, "points"), _zones(spark, sf_dir), strip=4.0, closed=True)
 
 
-@query(with_views("""SELECT row_id, col_id, CAST(coalesce(max(feature_id), -1) AS BIGINT) AS code FROM (SELECT row_id, col_id FROM grid WHERE row_id < 20) g
+@query(with_views("""SELECT row_id, col_id, CAST(coalesce(max(feature_id), -1) AS BIGINT) AS code FROM (SELECT row_id, col_id FROM grid) g
 LEFT JOIN zones ON col_id <= x1 AND col_id + 1 >= x0 AND row_id <= y1 AND row_id + 1 >= y0 GROUP BY 1, 2""", "grid", "zones"))
 def categorical_burn_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = view(spark, sf_dir, "grid").where("row_id < 20").select("row_id", "col_id")
+    cells = view(spark, sf_dir, "grid").select("row_id", "col_id")
     return spatial.burn(cells, _zones(spark, sf_dir))
 
 
-@query(with_views("""SELECT row_id, col_id, coalesce(bool_or(zone = 'nucleo'), false) AS nucleo, coalesce(bool_or(zone = 'negativo'), false) AS negativo FROM (SELECT row_id, col_id FROM grid WHERE row_id < 20) g
+@query(with_views("""SELECT row_id, col_id, coalesce(bool_or(zone = 'nucleo'), false) AS nucleo, coalesce(bool_or(zone = 'negativo'), false) AS negativo FROM (SELECT row_id, col_id FROM grid) g
 LEFT JOIN zones ON col_id <= x1 AND col_id + 1 >= x0 AND row_id <= y1 AND row_id + 1 >= y0 GROUP BY 1, 2""", "grid", "zones"))
 def binary_mask_burn(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells, zones = view(spark, sf_dir, "grid").where("row_id < 20").select("row_id", "col_id"), view(spark, sf_dir, "zones")
+    cells, zones = view(spark, sf_dir, "grid").select("row_id", "col_id"), view(spark, sf_dir, "zones")
     out = cells
     for name in ("nucleo", "negativo"):
         burnt = spatial.burn(cells, edges_of_boxes(zones.where(F.col("zone") == name), "feature_id"))
@@ -129,19 +129,10 @@ def nearest_log_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.select("id", F.round(F.log1p("distance"), 6).alias("log_distance"))
 
 
-@query(with_views(""", d AS (SELECT id, min((x - (x1 + t * (x2 - x1))) ** 2 + (y - (y1 + t * (y2 - y1))) ** 2) AS d2 FROM (
-  SELECT *, greatest(0, least(1, coalesce(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / nullif((x2 - x1) ** 2 + (y2 - y1) ** 2, 0), 0))) AS t FROM points, (SELECT * FROM fault_lines WHERE feature_id % 5 = 0)) GROUP BY 1)
-SELECT points.id FROM points JOIN d USING (id) WHERE d2 > 2.25""", "points", "fault_lines"))
-def exclusion_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = view(spark, sf_dir, "fault_lines").where("feature_id % 5 = 0")
-    return spatial.exclude_near(view(spark, sf_dir, "points").select("id", "x", "y"), lines, 1.5).select("id")
-
-
 @query(with_views(""", d AS (SELECT id, min((x - (x1 + t * (x2 - x1))) ** 2 + (y - (y1 + t * (y2 - y1))) ** 2) AS d2 FROM (
   SELECT *, greatest(0, least(1, coalesce(((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / nullif((x2 - x1) ** 2 + (y2 - y1) ** 2, 0), 0))) AS t FROM points, fault_lines) GROUP BY 1)
 SELECT points.id FROM points LEFT JOIN d USING (id) WHERE d2 IS NULL OR d2 > 2.25""", "points", "fault_lines"))
-def exclusion_anti_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """exclusion_anti by every fault line."""
+def exclusion_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.exclude_near(view(spark, sf_dir, "points").select("id", "x", "y"), view(spark, sf_dir, "fault_lines"), 1.5).select("id")
 
 
@@ -153,26 +144,11 @@ def zonal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.zonal(g, inside, "v", "feature_id").withColumn("mean", F.round("mean", 9))
 
 
-@query(with_views("SELECT CAST(i // 33 AS INTEGER) AS row_id, CAST(i % 33 AS INTEGER) AS col_id, dem FROM range(10 * 33) t(i) LEFT JOIN grid ON row_id = floor((i // 33 + 0.5e0) * 1.5e0) AND col_id = floor((i % 33 + 0.5e0) * 1.5e0)", "grid"))
-def nearest_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spatial.nearest_resample(view(spark, sf_dir, "grid"), "dem", 1.5, 10, 33)
-
-
-@query(with_views(""", t AS (SELECT i // 33 AS r, i % 33 AS c, (i // 33 + 0.5e0) * 1.5e0 - 0.5e0 AS fr, (i % 33 + 0.5e0) * 1.5e0 - 0.5e0 AS fc FROM range(10 * 33) t(i)
-), n AS (SELECT r, c, floor(fr) + i AS sr, floor(fc) + j AS sc, (CASE WHEN i = 0 THEN 1 - (fr - floor(fr)) ELSE fr - floor(fr) END) * (CASE WHEN j = 0 THEN 1 - (fc - floor(fc)) ELSE fc - floor(fc) END) AS w
-  FROM t, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j)), s AS (SELECT r, c, sum(dem * w) AS s, sum(CASE WHEN dem IS NOT NULL THEN w END) AS w FROM n LEFT JOIN grid ON row_id = sr AND col_id = sc GROUP BY 1, 2)
-SELECT CAST(r AS INTEGER) AS row_id, CAST(c AS INTEGER) AS col_id, CASE WHEN w > 0 THEN round(s / w, 6) END AS dem FROM s""", "grid"))
-def bilinear_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = spatial.bilinear_resample(view(spark, sf_dir, "grid"), "dem", 1.5, 10, 33)
-    return out.withColumn("dem", F.round("dem", 6))
-
-
 _COARSE = "(SELECT unnest(range(CAST(ceil((max(row_id) + 1) / 1.5e0) AS BIGINT) * 33)) AS i FROM grid)"
 
 
 @query(with_views(f"SELECT CAST(i // 33 AS INTEGER) AS row_id, CAST(i % 33 AS INTEGER) AS col_id, dem FROM {_COARSE} t LEFT JOIN grid ON row_id = floor((i // 33 + 0.5e0) * 1.5e0) AND col_id = floor((i % 33 + 0.5e0) * 1.5e0)", "grid"))
-def nearest_resample_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nearest_resample over all rows of the grid."""
+def nearest_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spatial.nearest_resample(view(spark, sf_dir, "grid"), "dem", 1.5, ceil(_height(spark, sf_dir) / 1.5), 33)
 
 
@@ -180,8 +156,7 @@ def nearest_resample_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
 ), n AS (SELECT r, c, floor(fr) + i AS sr, floor(fc) + j AS sc, (CASE WHEN i = 0 THEN 1 - (fr - floor(fr)) ELSE fr - floor(fr) END) * (CASE WHEN j = 0 THEN 1 - (fc - floor(fc)) ELSE fc - floor(fc) END) AS w
   FROM t, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j)), s AS (SELECT r, c, sum(dem * w) AS s, sum(CASE WHEN dem IS NOT NULL THEN w END) AS w FROM n LEFT JOIN grid ON row_id = sr AND col_id = sc GROUP BY 1, 2)
 SELECT CAST(r AS INTEGER) AS row_id, CAST(c AS INTEGER) AS col_id, CASE WHEN w > 0 THEN round(s / w, 6) END AS dem FROM s""", "grid"))
-def bilinear_resample_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bilinear_resample over all rows of the grid."""
+def bilinear_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = spatial.bilinear_resample(view(spark, sf_dir, "grid"), "dem", 1.5, ceil(_height(spark, sf_dir) / 1.5), 33)
     return out.withColumn("dem", F.round("dem", 6))
 

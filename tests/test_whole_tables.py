@@ -12,7 +12,7 @@ def grid(spark, sf):
     return {(r["row_id"], r["col_id"]): r for r in view(spark, sf, "grid").collect()}
 
 
-@pytest.mark.parametrize("name", ["nearest_resample_whole", "bilinear_resample_whole"])
+@pytest.mark.parametrize("name", ["nearest_resample", "bilinear_resample"])
 def test_resampling_reaches_the_last_rows(spark, sf, grid, name):
     height = max(r for r, _ in grid) + 1
     rows = catalog.queries()[name](spark, sf).collect()
@@ -30,11 +30,11 @@ def test_every_line_excludes(spark, sf):
 
     points = view(spark, sf, "points").select("id", F.col("x").cast("double"), F.col("y").cast("double")).collect()
     want = {i for i, x, y in points if all(d2(x, y, *line) > 2.25 for line in lines)}
-    assert {r["id"] for r in catalog.queries()["exclusion_anti_whole"](spark, sf).collect()} == want
+    assert {r["id"] for r in catalog.queries()["exclusion_anti"](spark, sf).collect()} == want
 
 
 def test_every_cell_enters_the_surfaces(spark, sf, grid):
-    top = {(r["row_id"], r["col_id"]): r["surface"] for r in catalog.queries()["block_max_surface_whole"](spark, sf).collect()}
+    top = {(r["row_id"], r["col_id"]): r["surface"] for r in catalog.queries()["block_max_surface"](spark, sf).collect()}
     assert all(top[k] is not None and top[k] >= r["v"] for k, r in grid.items() if r["v"] is not None)
-    smooth = {(r["row_id"], r["col_id"]) for r in catalog.queries()["gaussian_surface_whole"](spark, sf).collect()}
+    smooth = {(r["row_id"], r["col_id"]) for r in catalog.queries()["gaussian_surface"](spark, sf).collect()}
     assert set(grid) <= smooth
