@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from cellframe.llm.base import SPACES, let, sf_table, words_of
 
 SYMBOLS = "#*$%&|<>"
-#: Bits of a sort key that hold the place of a word; longer texts would be measured with wider keys, see repeat_words.
+#: Bits of a sort key that hold the place of a word; the others hold a hash.
 PLACE_BITS = 24
 
 
@@ -49,36 +49,63 @@ RULES = (
 )
 
 
-def repeat_words(words: Column) -> Column:
+def repeat_words(words: Column, place_bits: int = PLACE_BITS) -> Column:
     """Words in 3-word windows that stand twice or more in the text.
 
-    Each window's hash and place go into one long, and one native sort brings equal windows together. Starts of repeated
-    windows, in order, then cover up to three words each. Equal upper bits are compared word by word before they count.
+    One native sort brings equal windows together; starts of repeated windows, in order, then cover up to three words
+    each. The sort key is a long of a window's hash bits and place. Neighbours with equal hash bits are compared word by
+    word; if any two differ, or places need more bits, windows are sorted once more by their words, so that the count
+    is exact for every text.
     """
-    mask = F.lit((1 << PLACE_BITS) - 1).cast("long")
+    size = F.size(words)
+    mask = F.lit((1 << place_bits) - 1).cast("long")
 
-    def place(key: Column) -> Column:
-        return key.bitwiseAND(mask).cast("int")
+    def window(ws: Column, i: Column) -> list[Column]:
+        return [F.get(ws, i), F.get(ws, i + 1), F.get(ws, i + 2)]
 
-    def covered(ws: Column) -> Column:
-        n = F.size(ws) - 2
-        keys = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.shiftleft(F.xxhash64(F.get(ws, i), F.get(ws, i + 1), F.get(ws, i + 2)), PLACE_BITS).bitwiseOR(i.cast("long")))
+    def total(at: Column) -> Column:
+        return F.aggregate(F.transform(at, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - x, F.lit(3)))), F.lit(0), lambda acc, x: acc + x)
 
-        def same(a: Column, b: Column) -> Column:
-            i, j = place(a), place(b)
-            near = F.shiftright(a, PLACE_BITS) == F.shiftright(b, PLACE_BITS)
-            return near & (F.get(ws, i) == F.get(ws, j)) & (F.get(ws, i + 1) == F.get(ws, j + 1)) & (F.get(ws, i + 2) == F.get(ws, j + 2))
+    def covered(keys: Column, equal: Column, place) -> Column:
+        """equal: for each key but the last, whether the next is the same window."""
 
-        def starts(ks: Column) -> Column:
-            hit = F.filter(ks, lambda k, i: F.coalesce(same(k, F.get(ks, i - 1)), F.lit(False)) | F.coalesce(same(k, F.get(ks, i + 1)), F.lit(False)))
+        def starts(eq: Column) -> Column:
+            hit = F.filter(keys, lambda _, i: F.coalesce(F.get(eq, i - 1), F.lit(False)) | F.coalesce(F.get(eq, i), F.lit(False)))
             return F.sort_array(F.transform(hit, place))
 
-        def total(at: Column) -> Column:
-            return F.aggregate(F.transform(at, lambda x, i: F.least(F.lit(3), F.coalesce(F.get(at, i + 1) - x, F.lit(3)))), F.lit(0), lambda acc, x: acc + x)
+        return let(equal, lambda eq: let(starts(eq), total))
 
-        return let(F.sort_array(keys), lambda ks: let(starts(ks), total))
+    def by_hash(ws: Column) -> Column:
+        """Null if windows that differ have equal hash bits."""
 
-    return F.when(F.size(words) >= 3, covered(words)).otherwise(0).cast("long")
+        def place(key: Column) -> Column:
+            return key.bitwiseAND(mask).cast("int")
+
+        def equal(ks: Column) -> Column:
+            def step(k: Column, i: Column) -> Column:
+                after = F.get(ks, i + 1)
+                same = F.lit(True)
+                for x, y in zip(window(ws, place(k)), window(ws, place(after)), strict=True):
+                    same = same & (x == y)
+                return F.when(F.shiftright(k, place_bits) != F.shiftright(after, place_bits), 0).when(same, 1).otherwise(2)
+
+            return F.transform(F.slice(ks, 1, F.size(ks) - 1), step)
+
+        keys = F.transform(F.sequence(F.lit(0), F.size(ws) - 3), lambda i: F.shiftleft(F.xxhash64(*window(ws, i)), place_bits).bitwiseOR(i.cast("long")))
+        return let(F.sort_array(keys), lambda ks: let(equal(ks), lambda eq: F.when(~F.array_contains(eq, 2), covered(ks, F.transform(eq, lambda x: x == 1), place))))
+
+    def by_words(ws: Column) -> Column:
+        def key(i: Column) -> Column:
+            return F.struct(F.xxhash64(*window(ws, i)).alias("hash"), *[w.alias(f"w{j}") for j, w in enumerate(window(ws, i))], i.alias("place"))
+
+        def equal(ks: Column) -> Column:
+            same = lambda k, after: (k["hash"] == after["hash"]) & (k["w0"] == after["w0"]) & (k["w1"] == after["w1"]) & (k["w2"] == after["w2"])
+            return F.transform(F.slice(ks, 1, F.size(ks) - 1), lambda k, i: same(k, F.get(ks, i + 1)))
+
+        return let(F.sort_array(F.transform(F.sequence(F.lit(0), F.size(ws) - 3), key)), lambda ks: covered(ks, equal(ks), lambda k: k["place"]))
+
+    exact = F.coalesce(F.when(size <= 1 << place_bits, by_hash(words)), by_words(words))
+    return F.when(size >= 3, exact).otherwise(0).cast("long")
 
 
 def measures(text: Column) -> Column:

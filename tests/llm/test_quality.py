@@ -1,3 +1,4 @@
+import random
 import re
 
 from cellframe.llm import quality
@@ -24,6 +25,17 @@ def test_odd_texts(spark):
         assert not (r["kept"] and r["base_failed"])
 
 
+def test_hash_bits_that_collide_and_long_texts(spark):
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choice("abcdef") for _ in range(n)) for n in (3, 4, 5, 12, 30, 90, 300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("doc_id", F.split("text", " ").alias("w"))
+    for bits in (4, 8, 61, 62):  # places of 4 bits are too few for the longer texts; 1 or 2 bits of hash collide
+        rows = docs.select("doc_id", quality.repeat_words(F.col("w"), bits).alias("n")).collect()
+        assert [r["n"] for r in rows] == [brute(t)[4] for t in texts]
+
+
 def test_rules_are_a_table(spark):
     docs = spark.createDataFrame([(1, "the cat and the dog sat of " + " ".join(f"w{i}" for i in range(60)))], "doc_id long, text string")
     assert quality.judged(docs).first()["kept"]
