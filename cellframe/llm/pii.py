@@ -206,6 +206,7 @@ def found(docs: DataFrame) -> DataFrame:
 
 
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and digest, all spans as text, and n_spans, the number of all."""
     spans = found(sf_table(spark, sf_dir, "documents").select("doc_id", "text"))
     listed = lambda some: F.array_join(F.transform(some, lambda s: F.concat_ws(":", s["kind"], s["first"], s["last"])), ",")
     base = F.filter("spans", lambda s: s["base"])
@@ -214,4 +215,4 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == name))).cast("long").alias(f"n_{name}")
 
     counts = [count(k.name) for k in KINDS if k.base]
-    return spans.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    return spans.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), F.size("spans").cast("long").alias("n_spans"))

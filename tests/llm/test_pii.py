@@ -30,6 +30,7 @@ def agree(rows, texts):
         assert r["base_sha256"] == hashlib.sha256(line.encode()).hexdigest()
         assert [r[f"n_{k}"] for k in ("email", "ip", "card", "phone")] == [sum(x[3] == k for x in want) for k in ("email", "ip", "card", "phone")]
         assert set(filter(None, line.split(","))) <= set(r["spans"].split(","))
+        assert r["n_spans"] == len(list(filter(None, r["spans"].split(","))))
         seen += len(want)
     return seen
 
