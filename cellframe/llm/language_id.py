@@ -116,14 +116,17 @@ class Chains:
 class Model:
     def __init__(self, labels: list[str], weights: np.ndarray, start: np.ndarray, trans: np.ndarray) -> None:
         self.labels, self.weights, self.start, self.trans = labels, weights, start, trans
+        self.known = np.zeros(weights.shape[1], bool)
 
     def rows(self, words: list[str]) -> np.ndarray:
-        """Scores of words given by their letters: the sums of their features' weights."""
-        parts = [np.zeros((0, len(self.labels)), np.float32)]
+        """Scores of words given by their letters: the sums of their features' weights; and last, the share of features
+        that the sample shows."""
+        parts = [np.zeros((0, len(self.labels) + 1), np.float32)]
         for lo in range(0, len(words), 20_000):
             some = words[lo : lo + 20_000]
             word, ids = feature_ids(some)
-            parts.append(np.stack([np.bincount(word, w[ids], len(some)) for w in self.weights], axis=1).astype(np.float32))
+            share = np.bincount(word, self.known[ids], len(some)) / np.bincount(word, minlength=len(some))
+            parts.append(np.stack([*(np.bincount(word, w[ids], len(some)) for w in self.weights), share], axis=1).astype(np.float32))
         return np.concatenate(parts)
 
 
@@ -138,11 +141,13 @@ def train(sample: list[tuple[str, str]], turns: int = 30, rate: float = 0.15, de
     flat = np.array([vocabulary.setdefault(w, len(vocabulary)) for ws, _ in texts for w in ws], np.int64)
     n_labels, n_words = len(labels), len(vocabulary)
     model = Model(labels, np.zeros((n_labels, 1 << FEATURE_BITS)), np.zeros(n_labels), np.zeros((n_labels, n_labels)))
-    if n_labels == 1 or not len(flat):
+    if not len(flat):
         return model
     entry_word, entry = feature_ids(list(vocabulary))
     times = np.bincount(flat, minlength=n_words)
-    frequent = np.bincount(entry, times[entry_word], 1 << FEATURE_BITS) >= LEAST
+    model.known = frequent = np.bincount(entry, times[entry_word], 1 << FEATURE_BITS) >= LEAST
+    if n_labels == 1:
+        return model
     entry_word, entry = entry_word[frequent[entry]], entry[frequent[entry]]
     chains = Chains(np.array([len(ws) for ws, _ in texts]), TRAIN_CHAIN)
     words, gold = flat[chains.order], np.array([y for _, y in texts])[chains.word_text]
@@ -170,7 +175,7 @@ class Scorer:
 
     def __init__(self, model: Model) -> None:
         self.model, self.known = model, {}
-        self.scores = np.zeros((1, len(model.labels)), np.float32)  # row 0: words without letters
+        self.scores = np.zeros((1, len(model.labels) + 1), np.float32)  # row 0: words without letters
 
     def _ids(self, words: list[str]) -> np.ndarray:
         new = [w for w in set(words) if w not in self.known]
@@ -183,8 +188,8 @@ class Scorer:
             self.scores = np.vstack([self.scores, self.model.rows(list(bare))])
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
-    def labelled(self, texts: list[bytes | None]) -> Iterator[tuple[str, float]]:
-        """(label, score) of each text, in order."""
+    def labelled(self, texts: list[bytes | None]) -> Iterator[tuple[str, float, float]]:
+        """(label, score, share of known features) of each text, in order."""
         held: list[list[str]] = []
         size = 0
         for text in texts:
@@ -196,7 +201,7 @@ class Scorer:
                 held, size = [], 0
         yield from self._some(held)
 
-    def _some(self, texts: list[list[str]]) -> Iterator[tuple[str, float]]:
+    def _some(self, texts: list[list[str]]) -> Iterator[tuple[str, float, float]]:
         ids = self._ids([w for ws in texts for w in ws])
         lettered = ids > 0
         n = len(texts)
@@ -204,13 +209,15 @@ class Scorer:
         text_of = np.repeat(np.arange(n), lengths)[lettered]
         chains = Chains(np.bincount(text_of, minlength=n) if len(text_of) else np.zeros(n, np.int64), CHAIN)
         if not len(text_of):
-            yield from ((UNDETERMINED, 0.0) for _ in range(n))
+            yield from ((UNDETERMINED, 0.0, 0.0) for _ in range(n))
             return
-        marg = chains.marginals(self.scores[ids[lettered][chains.order]], self.model.start.astype(np.float32), self.model.trans.astype(np.float32))[0]
+        scores = self.scores[ids[lettered][chains.order]]
+        known = np.bincount(chains.word_text, scores[:, -1], n)
+        marg = chains.marginals(scores[:, :-1], self.model.start.astype(np.float32), self.model.trans.astype(np.float32))[0]
         sums = np.stack([np.bincount(chains.word_text, marg[:, k], n) for k in range(marg.shape[1])], axis=1)
         best, totals = sums.argmax(axis=1), sums.sum(axis=1)
         for i in range(n):
-            yield (self.model.labels[best[i]], min(1.0, float(sums[i, best[i]] / totals[i]))) if totals[i] > 0 else (UNDETERMINED, 0.0)
+            yield (self.model.labels[best[i]], *(min(1.0, float(x / totals[i])) for x in (sums[i, best[i]], known[i]))) if totals[i] > 0 else (UNDETERMINED, 0.0, 0.0)
 
 
 def learned(docs: DataFrame) -> Model | None:
@@ -238,23 +245,26 @@ def held_out(doc_id: Column) -> Column:
 
 
 def language_id(docs: DataFrame, model: Model | None) -> DataFrame:
-    """docs with `lang_pred` and `score` (0 to 1): the best label's share of the word marginals.
+    """docs with `lang_pred`, `score` (0 to 1): the best label's share of the word marginals, and `known_share` (0 to 1).
 
+    known_share is the share of a word's features that the training sample shows, on average over words; it is low
+    for text in none of the learned languages, however many there are, and high for text that mixes some of them.
     Texts that are null or have no letter get `und` and 0; so do all if nothing could be learned. Whole texts count.
     Columns of docs that clash with the new ones are replaced; others are carried. Rows that repeat get equal results.
     """
-    docs = docs.drop("lang_pred", "score")
+    new = ("lang_pred", "score", "known_share")
+    docs = docs.drop(*new)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(new[0], StringType()), StructField(new[1], DoubleType()), StructField(new[2], DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         scorer = Scorer(model) if model is not None else None
         for batch in slices(batches):
             texts = text_bytes(batch["text"])
-            got = list(scorer.labelled(texts)) if scorer else [(UNDETERMINED, 0.0)] * len(texts)
-            cols = [*batch.columns, pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, "lang_pred", "score"])
+            got = list(scorer.labelled(texts)) if scorer else [(UNDETERMINED, 0.0, 0.0)] * len(texts)
+            cols = [*batch.columns, *(pa.array([x[i] for x in got], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64())))]
+            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, *new])
 
     return docs.mapInArrow(run, schema)
 
@@ -263,4 +273,4 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = sf_table(spark, sf_dir, "documents")
     model = learned(docs)
     out = language_id(docs.select("doc_id", "text"), model)
-    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "known_share")

@@ -18,14 +18,17 @@ from cellframe.llm.sharding import sharded
 from cellframe.sources.scratch import written
 
 SHARDS = 16
-#: Least share of the best language's marginals.
-LANGUAGE_SCORE = 0.3
+#: Least share of a text's word features that the language model knows.
+KNOWN_SHARE = 0.6
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters and those of which no language holds its least share."""
-    sure = language_id(docs, learned(docs)).where((F.col("lang_pred") != UNDETERMINED) & (F.col("score") >= LANGUAGE_SCORE))
-    return sure.select(*docs.columns)
+    """Rejects documents without letters and those in no learned language, which their unknown features show.
+
+    Documents in several learned languages stay. How many languages were learned doesn't matter.
+    """
+    known = language_id(docs, learned(docs)).where((F.col("lang_pred") != UNDETERMINED) & (F.col("known_share") >= KNOWN_SHARE))
+    return known.select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

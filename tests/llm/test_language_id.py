@@ -39,7 +39,8 @@ def test_code_switching():
     model = language_id.train([(en, "en"), (fr, "fr")] * 8)
     scorer = language_id.Scorer(model)
     got = list(scorer.labelled([en.encode(), (fr + " " + fr + " " + en).encode(), b"12 34 ...", None, b""]))
-    assert [x for x, _ in got] == ["en", "fr", "und", "und", "und"] and got[1][1] < got[0][1]
+    assert [x[0] for x in got] == ["en", "fr", "und", "und", "und"] and got[1][1] < got[0][1]
+    assert got[0][2] > 0.999 and got[2][2] == 0.0
 
 
 def test_every_language_is_sampled(spark, monkeypatch):

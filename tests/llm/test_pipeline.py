@@ -1,5 +1,8 @@
+import random
 import re
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from cellframe.llm import decontamination, mixing, ngram_join
 
@@ -37,6 +40,22 @@ def test_stages_by_brute_force(spark, sf):
     assert all(sorted(x) == list(range(len(x))) for x in by.values())
 
 
+def test_language_stage_rejects_junk_and_keeps_mixed_texts(spark, sf):
+    rng = random.Random(5)
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    by = {lang: [r["text"] for r in docs.where(F.col("lang") == lang).orderBy("doc_id").limit(60).collect() if len(r["text"].split()) > 60] for lang in ("en", "fr", "de", "es")}
+    half = lambda lang, i: " ".join(by[lang][i % len(by[lang])].split()[:200])
+    mixed = [(10_000_000 + i, half(a, i) + " " + half(b, i)) for i, (a, b) in enumerate([("en", "fr"), ("de", "es"), ("fr", "de"), ("es", "en")] * 5)]
+    noise = lambda letters: " ".join("".join(rng.choice(letters) for _ in range(rng.choice([3, 6, 9]))) for _ in range(100))
+    junk = [(20_000_000 + i, noise("abcdefghijklmnopqrstuvwxyz")) for i in range(10)] + [(20_000_100 + i, noise("абвгдежзиклмнопрстуфхцчш")) for i in range(10)] + [(20_000_200, "12 34 ..."), (20_000_201, None)]
+    more = spark.createDataFrame([(d, t, None, "x", len(t or "")) for d, t in mixed + junk], docs.schema)
+    for languages in (["en", "fr"], ["en", "fr", "de", "es"]):  # with two languages learned as with four
+        some = docs.where(F.col("lang").isin(*languages)).unionByName(more)
+        kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, some, sf).select("doc_id").collect()}
+        assert not kept & {d for d, _ in junk}
+        assert {d for i, (d, _) in enumerate(mixed) if languages[2:] or i % 4 == 0} <= kept
+
+
 def test_edge_tables(spark, odd_docs, no_docs, sf):
     for docs in (odd_docs.select("doc_id", "text", "lang", "source", "n_chars"), no_docs.select("doc_id", "text", "lang", "source", "n_chars")):
         for _, stage in corpus_pipeline.STAGES[:-1]:
