@@ -10,10 +10,16 @@ Classes need connectivity, not every pair, so pairs come in rounds. In the first
 only pairs with one set on its list (a star), which joins a large family of near copies with as many pairs as it has
 members. The last round proposes every pair that is left between sets not yet connected. No candidate is capped
 and no link between different components is lost.
+
+Lists are read one after another, each by one task. Lists of about ``LONG`` groups or more, found by counting a hash
+sample of the groups, never come together: their stars have centres found by partial aggregation, and in the last round
+only what isn't in a list's largest component meets the rest, in blocks of about ``LONG`` by ``LONG`` rows. The sample
+decides how a list is read, not what is found.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -28,6 +34,8 @@ from cellframe.sources.scratch import written
 K = 5
 #: Similarity as a fraction of whole numbers.
 NUM, DEN = 3, 4
+#: Groups on a list that are too many for one task, and the share of groups (one in so many) that finds such lists.
+LONG, SAMPLE = 1 << 14, 16
 
 
 def prefix_length(n: int) -> int:
@@ -123,6 +131,64 @@ def _shared(tokens: DataFrame) -> DataFrame:
     return tokens.repartition("token").sortWithinPartitions("token", "gid").mapInArrow(run, tokens.schema)
 
 
+def need(n, m):
+    """Shingles that sets of these sizes must share to link; for numbers, arrays and columns."""
+    return -((-NUM * (n + m)) // (NUM + DEN))
+
+
+def _long_tokens(groups: DataFrame, long: int, sample: int) -> DataFrame:
+    """(token, salts) of the lists that hold about `long` groups or more, by the groups of a hash sample."""
+    some = groups.where(F.pmod(F.xxhash64("gid"), F.lit(sample)) == 0)
+    counts = _tokens(some).groupBy("token").count().where(F.col("count") * sample >= long)
+    return counts.select("token", F.ceil(F.col("count") * sample / long).cast("int").alias("salts"))
+
+
+def _long_proposals(rows: DataFrame, which: str) -> DataFrame:
+    """What _proposals gives, for the rows (and salts) of long lists; see there and the module's text.
+
+    "last" pairs a row with the largest set of its own and of the next class of sizes, a factor DEN / NUM wide.
+    """
+    c = F.col
+    band = F.floor(F.ln(c("n").cast("double")) / F.lit(math.log(DEN / NUM))).cast("int")
+    if which != "all":
+        by, first = (["token"], c("rest") / c("n")) if which == "centre" else (["token", "band"], c("n"))
+        rows = rows.withColumn("band", band)
+        hubs = rows.groupBy(*by).agg(F.max(F.struct(first.alias("first"), (-c("gid")).alias("order"), "rest", "n", "comp")).alias("hub"))
+        hubs = hubs.select(*by, (-c("hub.order")).alias("hub"), c("hub.rest").alias("hub_rest"), c("hub.n").alias("hub_n"), c("hub.comp").alias("hub_comp"))
+        if which == "last":
+            rows = rows.withColumn("band", F.explode(F.array("band", c("band") + 1)))
+        least = F.ceil(NUM * (c("n") + c("hub_n")) / F.lit(NUM + DEN))
+        met = rows.join(hubs, by).where((c("comp") != c("hub_comp")) & (F.least("rest", "hub_rest") >= least))
+        return met.select(F.least("gid", "hub").alias("g1"), F.greatest("gid", "hub").alias("g2")).distinct()
+
+    # Of each list, what is in its largest component needs no pairs with one another.
+    counts = rows.groupBy("token", "comp").agg(F.count("*").alias("k"), F.first("salts").alias("salts"))
+    tops = counts.groupBy("token").agg(F.max(F.struct("k", "comp")).alias("top"), F.sum("k").alias("all"), F.first("salts").alias("salts")).where("top.k < all")
+    share = (c("all") - c("top.k")) / c("all")
+    tops = tops.select("token", c("top.comp").alias("top"), F.ceil(share * c("salts")).cast("int").alias("parts"))
+    rows = rows.join(tops, "token")
+    cells = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    place = lambda n, seed: F.pmod(F.xxhash64("gid", F.lit(seed)), n).cast("int")
+    left = rows.select("token", place(c("salts"), 1).alias("i"), cells(c("parts")).alias("j"), F.lit(False).alias("odd"), "gid", "rest", "n", "comp")
+    right = rows.where("comp <> top").select("token", cells(c("salts")).alias("i"), place(c("parts"), 2).alias("j"), F.lit(True).alias("odd"), "gid", "rest", "n", "comp")
+
+    def block(table: pa.Table) -> pa.Table:
+        odd = table["odd"].to_numpy(zero_copy_only=False)
+        g, rest, n, comp = (table[k].to_numpy().astype(np.int64) for k in ("gid", "rest", "n", "comp"))
+        at = np.flatnonzero(~odd)
+        at = at[np.argsort(n[at], kind="stable")]
+        lg, lrest, ln, lcomp = g[at], rest[at], n[at], comp[at]
+        found = [np.empty((2, 0), np.int64)]
+        for i in np.flatnonzero(odd):
+            lo, hi = np.searchsorted(DEN * ln, NUM * n[i]), np.searchsorted(NUM * ln, DEN * n[i], side="right")
+            other = lo + np.flatnonzero((lcomp[lo:hi] != comp[i]) & (np.minimum(lrest[lo:hi], rest[i]) >= need(ln[lo:hi], n[i])))
+            found.append(np.stack([np.minimum(lg[other], g[i]), np.maximum(lg[other], g[i])]))
+        g1, g2 = np.concatenate(found, axis=1)
+        return pa.table({"g1": g1, "g2": g2})
+
+    return left.unionByName(right).groupBy("token", "i", "j").applyInArrow(block, "g1 long, g2 long").distinct()
+
+
 def _proposals(rows: DataFrame, which: str) -> DataFrame:
     """Pairs of groups on the lists of shared tokens that can link and are in different components.
 
@@ -133,9 +199,6 @@ def _proposals(rows: DataFrame, which: str) -> DataFrame:
     last row that its size allows; "all", with every row before it. Lists are read one after another.
     """
 
-    def need(n: np.ndarray, m: np.ndarray) -> np.ndarray:
-        return -(-NUM * (n + m) // (NUM + DEN))
-
     def of_list(g: np.ndarray, rest: np.ndarray, n: np.ndarray, c: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if which == "all":
             for i in range(1, len(g)):
@@ -254,6 +317,15 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "s1", "s2").mapInArrow(run, "a long, b long")
 
 
+def _within(now: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets of one group in different components: those outside its largest one with all others."""
+    counts = now.where("different > 1").groupBy("gid", "comp").agg(F.count("*").alias("k"))
+    tops = counts.groupBy("gid").agg(F.max(F.struct("k", "comp")).alias("top"), F.count("*").alias("comps")).where("comps > 1")
+    sets = now.join(tops.select("gid", F.col("top.comp").alias("top")), "gid")
+    odd = sets.where("comp <> top").select("gid", F.col("node").alias("a"), F.col("comp").alias("ca"))
+    return odd.join(sets.select("gid", F.col("node").alias("b"), F.col("comp").alias("cb")), "gid").where("ca <> cb").select("a", "b")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of edges (a, b); comp is the smallest node that can be reached.
 
@@ -282,12 +354,13 @@ def components(edges: DataFrame) -> DataFrame:
     return out
 
 
-def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
+def ngram_jaccard_join(docs: DataFrame, long: int = LONG, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_shingles (long), component_id (smallest doc_id reachable by links, itself included).
 
     docs needs doc_id and text; other columns, whatever their names, are ignored. Null and empty texts, and texts of
     spaces alone, have an empty set and link with nothing. Rows that repeat a doc_id each get a result row. A null
-    doc_id gets component null and links nothing. An empty table gives an empty result.
+    doc_id gets component null and links nothing. An empty table gives an empty result. long and sample say which lists
+    of a shingle are read in parts, and do not change the result.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -297,40 +370,47 @@ def ngram_jaccard_join(docs: DataFrame) -> DataFrame:
     linkable = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     groups = signatures.where(linkable).groupBy("group_key").agg(F.min("doc_id").alias("gid"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
     groups = written(groups.drop("group_key"), "groups")
-    shared = written(_shared(_tokens(groups)), "shared")
+    tokens, heavy = _tokens(groups), None
+    hot = written(_long_tokens(groups, long, sample), "hot")
+    if hot.limit(1).count():
+        heavy = written(tokens.join(hot, "token"), "heavy")
+        tokens = tokens.join(hot, "token", "left_anti")
+    shared = written(_shared(tokens), "shared")
+    listed = shared.select("gid") if heavy is None else shared.select("gid").unionByName(heavy.select("gid"))
+    listed = listed.distinct()
 
     # Sets by key, each named by its smallest document; groups by key, each named by its smallest set.
     sets = members.where(linkable).groupBy("set_key").agg(F.min("doc_id").alias("node"), F.first("n").alias("n"), F.first("group_key").alias("group_key"))
     sets = written(sets, "sets")
     named = sets.groupBy("group_key").agg(F.min("node").alias("gid"), F.count("*").alias("different"))
     nodes = sets.join(named, "group_key").select("node", "gid", "n", "different")
-    candidates = written(nodes.join(shared.select("gid").distinct(), "gid", "left_semi").unionByName(nodes.where("different > 1")).distinct(), "nodes")
-    groups = groups.join(shared.select("gid").distinct(), "gid", "left_semi")
+    candidates = written(nodes.join(listed, "gid", "left_semi").unionByName(nodes.where("different > 1")).distinct(), "nodes")
+    groups = groups.join(listed, "gid", "left_semi")
 
     comps: DataFrame | None = None
     links: DataFrame | None = None
     tested: DataFrame | None = None
     refused: DataFrame | None = None
-    for turn in range(3):
-        star = turn < 2
+    for which in ("centre", "last", "all"):
         now = candidates.withColumn("comp", F.col("node"))
         if comps is not None:
             now = candidates.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
         # A group counts as one component only if all its sets are in it; otherwise it stays open as its own.
-        state = now.groupBy("gid").agg(F.when(F.min("comp") == F.max("comp"), F.min("comp")).otherwise(-1 - F.col("gid")).alias("comp"), F.first("n").alias("n"))
-        rows = shared.join(state, "gid")
-        pairs = _proposals(rows, ("centre", "last", "all")[turn])
+        state = now.groupBy("gid").agg(F.when(F.min("comp") == F.max("comp"), F.min("comp")).otherwise(F.xxhash64(F.lit("open"), "gid")).alias("comp"), F.first("n").alias("n"))
+        pairs = _proposals(shared.join(state, "gid"), which)
+        if heavy is not None:
+            pairs = pairs.unionByName(_long_proposals(heavy.join(state, "gid"), which)).distinct()
         if refused is not None:
             pairs = pairs.join(refused, ["g1", "g2"], "left_anti")
         judged = written(_allowed(pairs, groups, levels), "judged")
         no, pairs = judged.where("NOT near").select("g1", "g2"), judged.where("near").select("g1", "g2")
         refused = no if refused is None else refused.unionByName(no)
-        own = now.where("different > 1").select("gid").distinct().select(F.col("gid").alias("g1"), F.col("gid").alias("g2"))
-        left, right = now.select(F.col("gid").alias("g1"), F.col("node").alias("a"), F.col("comp").alias("ca")), now.select(F.col("gid").alias("g2"), F.col("node").alias("b"), F.col("comp").alias("cb"))
-        if star:  # of each group, its first set; within a group, all sets with the first
+        if which != "all":  # of each group, its first set; within a group, all sets with the first
             pairs = pairs.select(F.col("g1").alias("a"), F.col("g2").alias("b")).unionByName(now.where("node <> gid AND comp <> gid").select(F.col("gid").alias("a"), F.col("node").alias("b")))
         else:
-            pairs = pairs.unionByName(own).join(left, "g1").join(right, "g2").where("ca <> cb AND (g1 <> g2 OR a < b)").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+            left, right = now.select(F.col("gid").alias("g1"), F.col("node").alias("a"), F.col("comp").alias("ca")), now.select(F.col("gid").alias("g2"), F.col("node").alias("b"), F.col("comp").alias("cb"))
+            pairs = pairs.join(left, "g1").join(right, "g2").where("ca <> cb").select("a", "b").unionByName(_within(now))
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = pairs.distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")

@@ -48,11 +48,43 @@ def family(rng):
 
 def test_brute_force(spark):
     for seed in range(3):
-        rows = family(random.Random(seed)) + [(900, None), (901, ""), (902, " \n"), (903, "ÉA b"), (904, "Éa B"), (905, "éa b")]
+        rows = family(random.Random(seed)) + [(900, None), (901, ""), (902, " \n"), (903, "ÉA b"), (904, "Éa B"), (905, "éa b"), (-7, "minus one two three four five"), (-1, "minus one two three four five"), (-3, "other words")]
         got = ngram_join.ngram_jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()
         assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute(rows)
 
 
+def test_long_lists_in_parts(spark):
+    rng = random.Random(11)
+    rows = family(rng)
+    template = [rng.choice([f"t{i}" for i in range(300)]) for _ in range(60)]
+    for i in range(120):  # a large family of near copies, some of them far from most others
+        text = template[:]
+        for _ in range(rng.choice([0, 1, 1, 2, 3])):
+            text[rng.randrange(len(text))] = f"x{rng.randrange(30)}"
+        rows.append((2000 + i, " ".join(text[: rng.choice([60, 60, 60, 50, 45, 20])])))
+    want = brute(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for long in (2, 9, 40):
+        got = ngram_join.ngram_jaccard_join(docs, long=long, sample=1).collect()
+        assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == want
+
+
+def test_pairs_of_long_lists(spark):
+    """With every set a component, blocks and whole lists propose the same pairs in the last round."""
+    rng = random.Random(2)
+    rows = [(t, g, rng.randrange(1, n + 1), n, g % 7) for t in (1, 2) for g in range(60) for n in [rng.randrange(8, 14)]]
+    lists = spark.createDataFrame([(t, g, max(1, r), n, c) for t, g, r, n, c in rows], "token long, gid long, rest int, n long, comp long")
+    from pyspark.sql import functions as F
+
+    want = {tuple(r) for r in ngram_join._proposals(lists, "all").collect()}
+    got = {tuple(r) for r in ngram_join._long_proposals(lists.withColumn("salts", F.lit(5)), "all").collect()}
+    by = {}
+    for t, g, rest, n, c in rows:
+        by.setdefault(t, []).append((g, rest, n, c))
+    brute_pairs = {(min(x[0], y[0]), max(x[0], y[0])) for some in by.values() for x in some for y in some if x[3] != y[3] and 4 * min(x[2], y[2]) >= 3 * max(x[2], y[2]) and min(x[1], y[1]) * 7 >= 3 * (x[2] + y[2])}
+    assert got == want == brute_pairs and want
+
+
 def test_prefix_bound_is_sound():
     import numpy as np
 
