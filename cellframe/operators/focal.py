@@ -156,11 +156,16 @@ def idw_fill(df: DataFrame, value: str, reach: int) -> DataFrame:
 def patches(df: DataFrame, value: str, size: int, stride: int, height: int, width: int, least_valid: float = 0.7) -> DataFrame:
     """Full size x size windows every stride cells, with mean and share of valid cells, where that is enough.
 
-    A cell belongs to at most (size / stride) ** 2 windows; sums are partial before the shuffle on the window.
+    Windows are whole squares of gcd(size, stride) cells a side, so cells are summed by square first and only squares
+    go to the windows that hold them: (size / stride) ** 2 copies of a square, not of a cell.
     """
-    steps = lambda c, n: F.filter(F.sequence(F.floor((F.col(c) - size) / stride) + 1, F.floor(F.col(c) / stride)), lambda k: (k >= 0) & (k * stride + size <= n))
-    rows = df.withColumn("pr", F.explode(steps("row_id", height))).withColumn("pc", F.explode(steps("col_id", width)))
-    agg = rows.groupBy("pr", "pc").agg(F.avg(value).alias("mean"), (F.count(value) / F.lit(float(size * size))).alias("valid"))
+    side = math.gcd(size, stride)
+    per, step = size // side, stride // side  # squares along a window, and from one window to the next
+    square = lambda c: F.floor(F.col(c) / side).cast("int").alias(c)
+    squares = df.groupBy(square("row_id"), square("col_id")).agg(F.sum(value).alias("s"), F.count(value).alias("n"))
+    steps = lambda c, n: F.filter(F.sequence(F.floor((F.col(c) - per) / step) + 1, F.floor(F.col(c) / step)), lambda k: (k >= 0) & (k * stride + size <= n))
+    rows = squares.withColumn("pr", F.explode(steps("row_id", height))).withColumn("pc", F.explode(steps("col_id", width)))
+    agg = rows.groupBy("pr", "pc").agg(F.try_divide(F.sum("s"), F.sum("n")).alias("mean"), (F.sum("n") / F.lit(float(size * size))).alias("valid"))
     out = agg.where(F.col("valid") >= least_valid)
     return out.select((F.col("pr") * stride).cast("int").alias("row_id"), (F.col("pc") * stride).cast("int").alias("col_id"), (F.col("pr") * stride + size // 2).cast("int").alias("center_row"), (F.col("pc") * stride + size // 2).cast("int").alias("center_col"), "mean", "valid")
 

@@ -24,13 +24,25 @@ def _strips(edges: DataFrame, height: float) -> DataFrame:
     return edges.withColumn("strip", F.explode(F.sequence(bin_of(lo, height), bin_of(hi, height))))
 
 
+#: Strips' heights that a bin of x is wide.
+WIDE = 64
+
+
 def containing(points: DataFrame, edges: DataFrame, key: str = "feature_id", pid: str = "id", strip: float = 1.0, closed: bool = False) -> DataFrame:
-    """(pid, key) for every feature that holds a point: an odd number of crossings, or if closed, on an edge."""
-    p = points.select(pid, "x", "y").withColumn("strip", bin_of(F.col("y"), strip))
+    """(pid, key) for every feature that holds a point: an odd number of crossings, or if closed, on an edge.
+
+    A point first meets the features whose extent within its strip covers it, by bins of x, and then the edges that
+    these features have in the strip: edges of features elsewhere in the strip never meet it.
+    """
+    wide = WIDE * strip
+    p = points.select(pid, "x", "y").withColumns({"strip": bin_of(F.col("y"), strip), "xbin": bin_of(F.col("x"), wide)})
     e = _strips(edges.select(key, "x1", "y1", "x2", "y2"), strip)
+    extents = e.groupBy(key, "strip").agg(F.min(F.least("x1", "x2")).alias("xlo"), F.max(F.greatest("x1", "x2")).alias("xhi"))
+    extents = extents.withColumn("xbin", F.explode(F.sequence(bin_of(F.col("xlo"), wide), bin_of(F.col("xhi"), wide))))
+    near = p.join(extents, ["strip", "xbin"]).where(F.col("x").between(F.col("xlo"), F.col("xhi"))).select(pid, "x", "y", key, "strip")
     args = [F.col(c) for c in ("x", "y", "x1", "y1", "x2", "y2")]
     hit = geo.crosses_ray(*args)
-    pairs = p.join(e, "strip")
+    pairs = near.join(e, [key, "strip"])
     if closed:
         pairs = pairs.withColumns({"hit": hit, "on": geo.on_segment(*args)}).where("hit OR on")
         return pairs.groupBy(pid, key).agg(F.sum(F.col("hit").cast("int")).alias("n"), F.max("on").alias("on")).where("n % 2 = 1 OR on").select(pid, key)
