@@ -89,7 +89,8 @@ def rules() -> list[Rule]:
             out.append(Rule(tag(label, v), "spdx", f" spdx license identifier {brief}{end}(?: or later| only)?(?= )", 1.0))
             if v:
                 full.append(Rule(tag(label, v), keyword, f" {name} licen[sc]e (?:version |v ?)?{v}(?= )", 0.95))
-                short.append(Rule(tag(label, v), brief.split()[0], f" {brief} (?:version |v ?)?{v} licen[sc]ed?(?= )", 0.8))
+                number = f"{brief} ?(?:version ?|v ?)?{v}"  # "gpl v3" and "gplv3" alike
+                short += [Rule(tag(label, v), brief.split()[0], f" {number}(?: or later| only)? licen[sc]ed?(?= )", 0.8), Rule(tag(label, v), brief.split()[0], f" (?:licensed|released) under (?:the )?{number}(?= )", 0.8)]
             else:
                 named += [Rule(label, keyword, f" (?:licensed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?{name} licen[sc]e(?= )", 0.9), Rule(label, keyword, f" {name} licen[sc]e(?= )", 0.85)]
                 short.append(Rule(label, brief.split()[0], f" (?:licensed|released) under (?:the )?{brief}(?= )", 0.75))

@@ -44,12 +44,18 @@ def test_rules_resolve(spark):
     assert len(licenses.rules()) > 200
 
 
+def test_short_names_with_versions(spark):
+    want = {"Licensed under GPLv3": "gpl-3", "Released under the LGPL v2.1.": "lgpl-2.1", "the gplv2 license": "gpl-2", "GPL-3.0-or-later licensed": "gpl-3.0", "licensed under apache 2.0": "apache-2.0", "EPLv1.0 License": "epl-1.0"}
+    rows = licenses.scanned(spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")).collect()
+    assert {list(want)[r["doc_id"]]: r["labels"] for r in rows} == want
+
+
 def phrases(pattern):
     """Texts that a rule's pattern matches, without its optional parts."""
     p = pattern.replace("(?= )", "").replace(r"\w+", "heck")
     while (q := re.sub(r"\(\?:[^()]*\)\?", "", p)) != p:
         p = q
-    p = re.sub(r"\w\?", "", p)
+    p = re.sub(r"[\w ]\?", "", p)
     parts = [x.split("|") if i % 2 else [x] for i, x in enumerate(re.split(r"\(\?:([^()]*)\)", p.replace("[sc]", "(?:s|c)")))]
     return ["".join(x).strip() for x in itertools.product(*parts)]
 
