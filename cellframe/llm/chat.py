@@ -4,7 +4,8 @@ Each turn gives events: a message, the calls it makes, or the result it brings.
 conversation and identifier. A call whose arguments refer to another call's result comes after it; depths follow from
 joins along these references, which only referring calls take part in. Arguments are checked against the tool's schema.
 Every event is one row of canonical JSON (sorted keys, no spaces, UTF-8), so no conversation is ever gathered into one
-row or task: positions come from prefix sums over spans of turns.
+row or task: events are sorted over all conversations into ranges, which may cut a conversation, and numbered in each; what
+a conversation has in earlier ranges is added. The first event of an identifier is found by partial aggregation.
 
 A call is a member of `tool_calls` of an assistant turn whose text is a JSON object: {"id", "name", "arguments"}.
 A result is the text of a `tool` turn that is a JSON object with `tool_call_id`. An argument refers to a result by a
@@ -18,14 +19,14 @@ from collections.abc import Iterable, Iterator
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from cellframe.llm.base import sf_table, slices
 from cellframe.sources.scratch import written
 
-#: Turns of a conversation whose events are numbered together.
-SPAN = 256
 REF = "$ref:"
 #: Tools known to the registered query: the checked part of JSON Schema is type, required, properties, items, enum.
 SCHEMAS: dict[str, dict[str, Any]] = {
@@ -34,7 +35,7 @@ SCHEMAS: dict[str, dict[str, Any]] = {
     "weather": {"type": "object", "required": ["city"], "properties": {"city": {"type": "string"}, "unit": {"enum": ["celsius", "fahrenheit"]}}},
 }
 _TYPES = {"object": dict, "array": list, "string": str, "boolean": bool, "integer": int, "number": (int, float), "null": type(None)}
-_EVENT = "conv_id long, turn long, part int, kind string, call_id string, name string, fault string, refs array<string>, json string"
+_EVENT = "conv_id long, turn long, part int, kind string, call_id string, name string, fault string, refs array<string>, json string, uid long"
 
 
 def canonical(value: Any) -> str:
@@ -110,10 +111,12 @@ def _events(turns: DataFrame, schemas: dict[str, dict[str, Any]]) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string(), pa.list_(pa.string()), pa.string())
         names = [x.split()[0] for x in _EVENT.split(", ")]
+        uid = TaskContext.get().partitionId() << 40
         for batch in slices(batches):
             rows = [(conv, turn, *e) for conv, turn, role, text in zip(*(batch[c].to_pylist() for c in ("conv_id", "turn", "role", "text")), strict=True) for e in events_of(role, text, schemas)]
             cols = list(zip(*rows, strict=True)) or [()] * len(kinds)
-            yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=names)
+            yield pa.record_batch([*(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), pa.array(range(uid, uid + len(rows)), pa.int64())], names=names)
+            uid += len(rows)
 
     return turns.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")).mapInArrow(run, _EVENT)
 
@@ -161,36 +164,59 @@ def linked(turns: DataFrame, schemas: dict[str, dict[str, Any]] | None = None) -
     Columns beyond conv_id, turn, role and text are ignored. An empty table gives an empty result.
     """
     events = written(_events(turns, SCHEMAS if schemas is None else schemas), "events")
-    order = ["turn", "part", "json"]
-    same = Window.partitionBy("conv_id", "call_id")
     plain = events.where("kind = 'message' OR call_id IS NULL OR conv_id IS NULL")
     tools = events.where("kind <> 'message' AND call_id IS NOT NULL AND conv_id IS NOT NULL")
-    calls = tools.where("kind = 'call'").withColumn("nth", F.row_number().over(same.orderBy(*order)))
-    results = tools.where("kind = 'result'").withColumn("nth", F.row_number().over(same.orderBy(*order)))
-    first = written(calls.where("nth = 1"), "calls")
+    firsts = tools.groupBy("kind", "conv_id", "call_id").agg(F.min(F.struct("turn", "part", "json", "uid"))["uid"].alias("uid"))
+    firsts = written(firsts.select("uid", F.lit(True).alias("first")), "firsts")
+    tools = tools.join(firsts, "uid", "left")
+    calls, results = tools.where("kind = 'call'"), tools.where("kind = 'result'")
+    first = written(calls.where("first"), "calls")
     depths = written(_depths(first.select("conv_id", "call_id", F.coalesce("turn", F.lit(-1)).alias("turn"), "refs")), "depths")
-    answered = results.where("nth = 1").select("conv_id", "call_id", F.lit(True).alias("answered"))
+    answered = results.where("first").select("conv_id", "call_id", F.lit(True).alias("answered"))
     one = first.join(depths.hint("shuffle_hash"), ["conv_id", "call_id"], "left").join(answered.hint("shuffle_hash"), ["conv_id", "call_id"], "left")
     status = F.when(F.col("depth") == -1, "cycle").when(F.col("fault").isNotNull(), F.concat(F.lit("invalid: "), F.col("fault"))).when(F.col("answered").isNull(), "no_result").otherwise("ok")
-    keep = ("conv_id", "turn", "part", "kind", "call_id", "json")
+    keep = ("conv_id", "turn", "part", "kind", "call_id", "json", "uid")
     turn = F.coalesce("turn", F.lit(-1))
     rows = one.select(*keep, "depth", "at", status.alias("status"))
-    rows = rows.unionByName(calls.where("nth > 1").select(*keep, F.lit(0).alias("depth"), turn.alias("at"), F.lit("repeated_id").alias("status")))
+    rows = rows.unionByName(calls.where("first IS NULL").select(*keep, F.lit(0).alias("depth"), turn.alias("at"), F.lit("repeated_id").alias("status")))
     met = results.join(depths.withColumnRenamed("at", "since").hint("shuffle_hash"), ["conv_id", "call_id"], "left")
-    status = F.when(F.col("since").isNull(), "orphan").when(F.col("nth") > 1, "repeated_result").otherwise("ok")
+    status = F.when(F.col("since").isNull(), "orphan").when(F.col("first").isNull(), "repeated_result").otherwise("ok")
     rows = rows.unionByName(met.select(*keep, F.coalesce("depth", F.lit(0)).alias("depth"), F.greatest(turn, F.coalesce("since", turn)).alias("at"), status.alias("status")))
     status = F.when(F.col("kind") == "message", "ok").when(F.col("kind") == "result", "orphan").otherwise(F.concat(F.lit("invalid: "), F.coalesce("fault", F.lit("no conversation"))))
     rows = rows.unionByName(plain.select(*keep, F.lit(0).alias("depth"), turn.alias("at"), status.alias("status")))
 
-    # The key has no nulls, so that window and join need the rows dealt only once.
-    rows = rows.withColumns({"span": F.floor(F.col("at") / SPAN).cast("long"), "key": F.coalesce(F.col("conv_id").cast("string"), F.lit(""))})
-    before = Window.partitionBy("key").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy("key", "span").agg(F.count("*").alias("n")).select("key", "span", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     # Messages of a turn first, then calls by depth, each before its result; a cycle's calls last.
     depth = F.when(F.col("depth") < 0, 1 << 30).otherwise(F.col("depth"))
-    within = Window.partitionBy("key", "span").orderBy("at", (F.col("kind") != "message").cast("int"), depth, (F.col("kind") == "result").cast("int"), "turn", "part", "json")
-    numbered = rows.withColumn("row", F.row_number().over(within)).join(counts, ["key", "span"])
-    return numbered.select("conv_id", "turn", "part", "kind", "call_id", F.col("depth").cast("int"), "status", (F.col("offset") + F.col("row") - 1).cast("long").alias("position"), "json")
+    key = F.coalesce(F.col("conv_id").cast("string"), F.lit(""))
+    order = [key, F.col("at"), F.col("kind") != "message", depth, F.col("kind") == "result", *map(F.col, ("turn", "part", "json", "uid"))]
+    numbered = _numbered(written(rows, "rows").withColumn("key", key), order)
+    return numbered.select("conv_id", "turn", "part", "kind", "call_id", F.col("depth").cast("int"), "status", "position", "json")
+
+
+def _numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
+    """rows with `position`: 0, 1, 2, ... for each `key` by order, whose first part is the key and last part is unique.
+
+    Only keys at the ends of a range can go on in another; their counts, two at most for each range, are broadcast.
+    """
+    schema = StructType([*rows.schema.fields, StructField("range", IntegerType()), StructField("row", LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here, last, count = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            at = []
+            for k in batch["key"].to_pylist():
+                count = count + 1 if k == last else 0
+                last = k
+                at.append(count)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([here] * len(at), pa.int32()), pa.array(at, pa.int64())], names=schema.names)
+
+    ranges = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    done = written(rows.repartitionByRange(ranges, *order).sortWithinPartitions(*order).mapInArrow(run, schema), "numbered")
+    ends = done.groupBy("range").agg(F.min("key").alias("lo"), F.max("key").alias("hi"))
+    counts = done.select("range", "key").join(F.broadcast(ends), "range").where("key = lo OR key = hi").groupBy("key", "range").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("key").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("key", "range", F.sum("n").over(before).alias("offset"))
+    return done.join(F.broadcast(offsets), ["key", "range"], "left").withColumn("position", (F.coalesce("offset", F.lit(0)) + F.col("row")).cast("long"))
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:

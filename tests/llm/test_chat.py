@@ -63,6 +63,22 @@ def test_many_turns_and_empty(spark):
     assert chat.linked(many.limit(0)).count() == 0
 
 
+def test_hot_keys_are_cut(spark):
+    """One conversation of most rows, without an id, and one identifier that is called and answered over and over."""
+    a = json.dumps({"content": None, "tool_calls": [call("again", query="x")]})
+    rows = [(None, i % 7, "user", f"t{i % 50}") for i in range(900)] + [(3, i % 5, "assistant", a) for i in range(300)] + [(3, i % 5, "tool", json.dumps({"tool_call_id": "again", "content": i % 9})) for i in range(300)] + [(i, 0, "user", "x") for i in range(100, 140)]
+    got = chat.linked(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["conv_id"], []).append(r)
+    for rs in by.values():
+        rs.sort(key=lambda r: r["position"])
+        assert [r["position"] for r in rs] == list(range(len(rs)))
+    assert [(r["turn"], r["json"]) for r in by[None]] == sorted((t, chat.canonical({"content": x, "role": "user"})) for c, t, _, x in rows if c is None)
+    status = [r["status"] for r in by[3] if r["kind"] == "call"], [r["status"] for r in by[3] if r["kind"] == "result"]
+    assert [s.count("ok") for s in status] == [1, 1] and status[0].count("repeated_id") == status[1].count("repeated_result") == 299
+
+
 def test_schema_faults():
     schema = {"type": "object", "required": ["a"], "properties": {"a": {"type": "array", "items": {"type": "integer"}}, "b": {"enum": [1, 2]}}}
     assert chat.fault_of({"a": [1, 2]}, schema) is None
