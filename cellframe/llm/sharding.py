@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from cellframe.llm.base import sf_table
 
 #: Slots are numbered within parts of a shard, by hash of the key, so that no task sorts a whole shard.
-PARTS = 4096
+PARTS = 1024
 
 
 def _score(key: Column, shard: int, weight: float) -> Column:
