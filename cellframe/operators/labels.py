@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellframe.functions import geometry as geo
+from cellframe.functions.algebra import valid
+from cellframe.operators import spatial
 
 #: Sets in order of priority, and the default weights of samples by source (fixed values).
 PRIORITY = ("negativo", "nucleo", "interpretado")
@@ -107,6 +109,25 @@ def random_points(zones: DataFrame, n: int, seed: int | str) -> DataFrame:
     return rows.select("feature_id", "zone", "i", (F.col("x0") + u("x") * (F.col("x1") - F.col("x0"))).alias("x"), (F.col("y0") + u("y") * (F.col("y1") - F.col("y0"))).alias("y"))
 
 
+def valid_points(edges: DataFrame, raster: DataFrame, value: str, n: int, seed: int | str, key: str = "feature_id", group: str = "zone", over: int = 8, strip: float = 1.0) -> DataFrame:
+    """(group, key, i, x, y): n random points in the features of each group, on cells whose value is valid; or fewer.
+
+    edges: key, group, x1, y1, x2, y2 in cell units. Every feature gets candidates by the area of its box, `over` times n
+    in a group, so that those inside are equally dense in all; the n of smallest draw stay. A group whose features or valid
+    cells fill less than one in `over` of their boxes gives fewer points; a larger `over` gives more.
+    """
+    box = edges.groupBy(key, group).agg(F.min(F.least("x1", "x2")).alias("x0"), F.min(F.least("y1", "y2")).alias("y0"), F.max(F.greatest("x1", "x2")).alias("x9"), F.max(F.greatest("y1", "y2")).alias("y9"))
+    area = (F.col("x9") - F.col("x0")) * (F.col("y9") - F.col("y0"))
+    share = F.try_divide(area, F.sum(area).over(Window.partitionBy(group)))
+    rows = box.withColumn("k", F.ceil(share * (over * n)).cast("int")).where("k > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    u = lambda tag: F.conv(F.substring(draw(F.concat(F.col(key).cast("string"), F.lit(tag), F.col("i").cast("string")), seed), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    tries = rows.select(group, key, "i", F.concat(F.col(key).cast("string"), F.lit("_"), F.col("i").cast("string")).alias("id"), (F.col("x0") + u("x") * (F.col("x9") - F.col("x0"))).alias("x"), (F.col("y0") + u("y") * (F.col("y9") - F.col("y0"))).alias("y"))
+    inside = spatial.containing(tries, edges, key, "id", strip)
+    good = spatial.at_points(tries.join(inside, ["id", key], "left_semi"), raster, [value]).where(valid(F.col(value)))
+    order = Window.partitionBy(group).orderBy(draw(F.col("id"), seed), "id")
+    return good.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n).select(group, key, "i", "x", "y")
+
+
 def quotas(available: Mapping[str, int], n_pos: int, core_share: float = 0.6, negative_ratio: int = 3) -> dict[str, int]:
     """Positives by set, 60 to 40, one taking what the other lacks; negatives explicit first, then background."""
     core, other = available.get("nucleo", 0), available.get("interpretado", 0)

@@ -6,12 +6,14 @@ strip of y is the bin of point-in-polygon; for distances the bin is a square of
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellframe.functions import geometry as geo
+from cellframe.functions.algebra import patch_id_parts
+from cellframe.sources.grid import GridSpec
 from cellframe.sources.scratch import written
 
 
@@ -151,23 +153,22 @@ def zonal(cells: DataFrame, zone_of_cell: DataFrame, value: str, key: str) -> Da
     return joined.groupBy(key).agg(F.count(value).alias("n"), F.avg(value).alias("mean"), F.max(value).alias("max"))
 
 
-def nearest_resample(raster: DataFrame, value: str, factor: float, height: int, width: int) -> DataFrame:
-    """The raster on a grid of cells factor times as large: each takes the source cell at its centre."""
-    spark = raster.sparkSession
-    grid = spark.range(height * width).select(F.floor(F.col("id") / width).cast("int").alias("row_id"), (F.col("id") % width).cast("int").alias("col_id"))
+def _cells(raster: DataFrame, height: int, width: int) -> DataFrame:
+    cells = raster.sparkSession.range(height * width)
+    return cells.select(F.floor(F.col("id") / width).cast("int").alias("row_id"), (F.col("id") % width).cast("int").alias("col_id"))
+
+
+def _nearest(cells: DataFrame, raster: DataFrame, value: str) -> DataFrame:
+    """cells (row_id, col_id, fr, fc: their place in the source, centres at whole numbers) with the cell there."""
     src = raster.select(F.col("row_id").alias("sr"), F.col("col_id").alias("sc"), value)
-    at = lambda c: F.floor((F.col(c) + F.lit(0.5)) * F.lit(float(factor))).cast("int")
-    return grid.withColumns({"sr": at("row_id"), "sc": at("col_id")}).join(src, ["sr", "sc"], "left").select("row_id", "col_id", value)
+    at = lambda c: F.floor(F.col(c) + F.lit(0.5)).cast("int")
+    return cells.withColumns({"sr": at("fr"), "sc": at("fc")}).join(src, ["sr", "sc"], "left").select("row_id", "col_id", value)
 
 
-def bilinear_resample(raster: DataFrame, value: str, factor: float, height: int, width: int) -> DataFrame:
-    """The raster on a grid of cells factor times as large: valid neighbours weighted by distance of centres."""
-    spark = raster.sparkSession
-    grid = spark.range(height * width).select(F.floor(F.col("id") / width).cast("int").alias("row_id"), (F.col("id") % width).cast("int").alias("col_id"))
-    at = lambda c: (F.col(c) + F.lit(0.5)) * F.lit(float(factor)) - F.lit(0.5)
-    g = grid.withColumns({"fr": at("row_id"), "fc": at("col_id")})
+def _bilinear(cells: DataFrame, raster: DataFrame, value: str) -> DataFrame:
+    """As _nearest, with the four cells around, valid ones weighted by distance."""
     two = F.array(F.lit(0), F.lit(1))
-    g = g.withColumn("i", F.explode(two)).withColumn("j", F.explode(two))
+    g = cells.withColumn("i", F.explode(two)).withColumn("j", F.explode(two))
     weigh = lambda f, k: F.when(F.col(k) == 0, 1 - (F.col(f) - F.floor(f))).otherwise(F.col(f) - F.floor(f))
     g = g.select("row_id", "col_id", (F.floor("fr") + F.col("i")).cast("int").alias("sr"), (F.floor("fc") + F.col("j")).cast("int").alias("sc"), (weigh("fr", "i") * weigh("fc", "j")).alias("w"))
     src = raster.select(F.col("row_id").alias("sr"), F.col("col_id").alias("sc"), value).where(F.col(value).isNotNull())
@@ -175,6 +176,55 @@ def bilinear_resample(raster: DataFrame, value: str, factor: float, height: int,
     return sums.select("row_id", "col_id", F.when(F.col("w") > 0, F.col("s") / F.col("w")).alias(value))
 
 
+def _coarse(raster: DataFrame, factor: float, height: int, width: int) -> DataFrame:
+    at = lambda c: (F.col(c) + F.lit(0.5)) * F.lit(float(factor)) - F.lit(0.5)
+    return _cells(raster, height, width).withColumns({"fr": at("row_id"), "fc": at("col_id")})
+
+
+def nearest_resample(raster: DataFrame, value: str, factor: float, height: int, width: int) -> DataFrame:
+    """The raster on a grid of cells factor times as large: each takes the source cell at its centre."""
+    return _nearest(_coarse(raster, factor, height, width), raster, value)
+
+
+def bilinear_resample(raster: DataFrame, value: str, factor: float, height: int, width: int) -> DataFrame:
+    """The raster on a grid of cells factor times as large: valid neighbours weighted by distance of centres."""
+    return _bilinear(_coarse(raster, factor, height, width), raster, value)
+
+
+def align(raster: DataFrame, value: str, source: GridSpec, target: GridSpec, method: str = "bilinear", to_source: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """A raster of one grid on another, whatever their origins and cell sizes; NULL where the source has nothing.
+
+    method: "nearest" for categories, "bilinear" for values. to_source takes a frame with x and y of the target's
+    reference system to that of the source (see geometry.project); without it both are the same.
+    """
+    if method not in ("nearest", "bilinear"):
+        raise ValueError(f"no method {method}")
+    cells = _cells(raster, target.height, target.width)
+    cells = cells.select("row_id", "col_id", target.x(F.col("col_id")).alias("x"), target.y(F.col("row_id")).alias("y"))
+    cells = to_source(cells) if to_source else cells
+    half, res = F.lit(0.5), F.lit(float(source.res))
+    places = {"fr": (F.lit(float(source.y0)) - F.col("y")) / res - half, "fc": (F.col("x") - F.lit(float(source.x0))) / res - half}
+    return (_nearest if method == "nearest" else _bilinear)(cells.withColumns(places), raster, value)
+
+
+def chips(raster: DataFrame, patches: DataFrame, bands: Sequence[str], size: int, low: float = 0.02, high: float = 0.98) -> DataFrame:
+    """(patch_id, row_id, col_id in the chip, bands): a size x size window for each patch_id `<stem>_r<row>_c<col>`.
+
+    Bands are stretched to [0, 1] between two percentiles of the chip's valid cells; a chip is size ** 2 cells at most.
+    """
+    _, row, col = patch_id_parts(F.col("patch_id"))
+    rows = patches.select("patch_id", row.alias("r0"), col.alias("c0")).withColumn("row_id", F.explode(F.sequence(F.col("r0"), F.col("r0") + size - 1)))
+    cells = rows.join(raster.select("row_id", "col_id", *bands), "row_id").where(F.col("col_id").between(F.col("c0"), F.col("c0") + size - 1))
+    bounds = cells.groupBy("patch_id").agg(*[F.percentile(b, F.array(F.lit(low), F.lit(high))).alias(f"__{b}") for b in bands])
+
+    def stretched(b: str) -> Column:
+        lo, hi = F.get(f"__{b}", F.lit(0)), F.get(f"__{b}", F.lit(1))
+        share = (F.col(b) - lo) / F.greatest(hi - lo, F.lit(1e-6))
+        return F.when(F.col(b).isNotNull(), F.greatest(F.lit(0.0), F.least(F.lit(1.0), share))).alias(b)
+
+    return cells.join(bounds, "patch_id").select("patch_id", (F.col("row_id") - F.col("r0")).alias("row_id"), (F.col("col_id") - F.col("c0")).alias("col_id"), *map(stretched, bands))
+
+
 def densify(lines: DataFrame, step: float, key: str = "feature_id", order: str | None = None) -> DataFrame:
     """Points along each line, max(2, int(length / step)) of them at equal arc length, ends included.
 

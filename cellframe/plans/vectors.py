@@ -12,6 +12,7 @@ from cellframe.operators import labels, spatial
 from cellframe.plans.rasters import _height
 from cellframe.sources import io
 from cellframe.sources.fixtures import view, with_views
+from cellframe.sources.grid import GridSpec
 
 QUERIES, ORACLES = {}, {}
 _EDGES = """e AS (SELECT feature_id, x0 AS x1, y0 AS y1, x1 AS x2, y0 AS y2 FROM zones UNION ALL SELECT feature_id, x1, y0, x1, y1 FROM zones
@@ -161,6 +162,41 @@ def bilinear_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("dem", F.round("dem", 6))
 
 
+#: Cells of 1.7 on a grid whose corner is 3.3 right of and 2.4 below the source's.
+_SHIFTED = """h AS (SELECT max(row_id) + 1 AS h FROM grid), t AS (SELECT CAST(i // 27 AS INTEGER) AS r, CAST(i % 27 AS INTEGER) AS c, (h - ((h - 2.4e0) - (i // 27 + 0.5e0) * 1.7e0)) / 1.0e0 - 0.5e0 AS fr, ((3.3e0 + (i % 27 + 0.5e0) * 1.7e0) - 0.0e0) / 1.0e0 - 0.5e0 AS fc
+  FROM (SELECT h, unnest(range(CAST(ceil((h - 2.4e0) / 1.7e0) AS BIGINT) * 27)) AS i FROM h))"""
+
+
+def _aligned(spark: SparkSession, sf_dir: str, value: str, method: str) -> DataFrame:
+    h = _height(spark, sf_dir)
+    source, target = GridSpec(0.0, float(h), 1.0, 50, h), GridSpec(3.3, h - 2.4, 1.7, 27, ceil((h - 2.4) / 1.7))
+    return spatial.align(view(spark, sf_dir, "grid"), value, source, target, method)
+
+
+@query(with_views(f", {_SHIFTED} SELECT r AS row_id, c AS col_id, category FROM t LEFT JOIN grid ON row_id = floor(fr + 0.5e0) AND col_id = floor(fc + 0.5e0)", "grid"))
+def grid_align_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _aligned(spark, sf_dir, "category", "nearest")
+
+
+@query(with_views(f""", {_SHIFTED}, n AS (SELECT r, c, floor(fr) + i AS sr, floor(fc) + j AS sc, (CASE WHEN i = 0 THEN 1 - (fr - floor(fr)) ELSE fr - floor(fr) END) * (CASE WHEN j = 0 THEN 1 - (fc - floor(fc)) ELSE fc - floor(fc) END) AS w
+  FROM t, (SELECT unnest([0, 1]) AS i), (SELECT unnest([0, 1]) AS j)), s AS (SELECT r, c, sum(dem * w) AS s, sum(CASE WHEN dem IS NOT NULL THEN w END) AS w FROM n LEFT JOIN grid ON row_id = sr AND col_id = sc GROUP BY 1, 2)
+SELECT r AS row_id, c AS col_id, CASE WHEN w > 0 THEN round(s / w, 6) END AS dem FROM s""", "grid"))
+def grid_align_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _aligned(spark, sf_dir, "dem", "bilinear").withColumn("dem", F.round("dem", 6))
+
+
+@query(with_views(""", p AS (SELECT format('{}_r{:03d}_c{:03d}', zone, CAST(floor(y0) AS BIGINT), CAST(floor(x0) AS BIGINT)) AS patch_id, CAST(floor(y0) AS INTEGER) AS r0, CAST(floor(x0) AS INTEGER) AS c0 FROM zones
+), k AS (SELECT patch_id, row_id - r0 AS row_id, col_id - c0 AS col_id, v, dem FROM p JOIN grid ON row_id BETWEEN r0 AND r0 + 5 AND col_id BETWEEN c0 AND c0 + 5
+), q AS (SELECT patch_id, quantile_cont(v, 0.02) AS v0, quantile_cont(v, 0.98) AS v1, quantile_cont(dem, 0.02) AS d0, quantile_cont(dem, 0.98) AS d1 FROM k GROUP BY 1)
+SELECT patch_id, CAST(row_id AS INTEGER) AS row_id, CAST(col_id AS INTEGER) AS col_id, CASE WHEN v IS NOT NULL THEN round(greatest(0, least(1, (v - v0) / greatest(v1 - v0, 1e-6))), 6) END AS v, CASE WHEN dem IS NOT NULL THEN round(greatest(0, least(1, (dem - d0) / greatest(d1 - d0, 1e-6))), 6) END AS dem FROM k JOIN q USING (patch_id)""", "zones", "grid"))
+def preview_chips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stretched window of cells at each zone's corner, found by the id of its patch."""
+    z = view(spark, sf_dir, "zones")
+    ids = z.select(F.format_string("%s_r%03d_c%03d", "zone", F.floor("y0"), F.floor("x0")).alias("patch_id"))
+    out = spatial.chips(view(spark, sf_dir, "grid"), ids, ["v", "dem"], 6)
+    return out.withColumns({b: F.round(b, 6) for b in ("v", "dem")})
+
+
 @query(with_views(""", l AS (SELECT *, sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)) AS len FROM fault_lines), n AS (SELECT *, greatest(2, CAST(floor(len / 1.5e0) AS BIGINT)) AS n FROM l), p AS (SELECT *, unnest(range(n)) AS i FROM n WHERE len > 0)
 SELECT feature_id, CAST(i AS INTEGER) AS i, round(x1 + (i * 1.0e0 / (n - 1)) * (x2 - x1), 6) AS x, round(y1 + (i * 1.0e0 / (n - 1)) * (y2 - y1), 6) AS y FROM p""", "fault_lines"))
 def line_densify(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -301,6 +337,19 @@ def random_points_in_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"x": F.round("x", 6), "y": F.round("y", 6)})
 
 
+@query(with_views(""", b AS (SELECT zone, feature_id, x0, y0, x1, y1, (x1 - x0) * (y1 - y0) AS area FROM zones), k AS (SELECT *, CAST(ceil(area / sum(area) OVER (PARTITION BY zone) * 320) AS BIGINT) AS k FROM b
+), c AS (SELECT *, unnest(range(k)) AS i FROM k), u AS (SELECT zone, feature_id, i, x0 + CAST(('0x' || substr(md5(feature_id || 'x' || i || '|13'), 1, 8)) AS BIGINT) / 4294967296.0e0 * (x1 - x0) AS x,
+  y0 + CAST(('0x' || substr(md5(feature_id || 'y' || i || '|13'), 1, 8)) AS BIGINT) / 4294967296.0e0 * (y1 - y0) AS y FROM c
+), r AS (SELECT u.*, row_number() OVER (PARTITION BY zone ORDER BY md5(feature_id || '_' || i || '|13'), feature_id || '_' || i) AS n FROM u JOIN grid ON row_id = floor(y) AND col_id = floor(x) WHERE v <> 0)
+SELECT zone, CAST(feature_id AS INTEGER) AS feature_id, CAST(i AS INTEGER) AS i, round(x, 6) AS x, round(y, 6) AS y FROM r WHERE n <= 40""", "zones", "grid"))
+def valid_points_in_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """40 random points in the zones of each kind, on cells that have a value."""
+    z = view(spark, sf_dir, "zones")
+    edges = _zones(spark, sf_dir).join(z.select("feature_id", "zone"), "feature_id")
+    out = labels.valid_points(edges, view(spark, sf_dir, "grid"), "v", 40, 13, strip=4.0)
+    return out.withColumns({"x": F.round("x", 6), "y": F.round("y", 6)})
+
+
 @query(with_views(f"{_LABELS} SELECT label_source, count(*) AS n, round(avg(weight), 6) AS weight, CAST(max(label) AS INTEGER) AS label FROM lab GROUP BY 1", "zones", "points"))
 def sample_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _labelled(spark, sf_dir).groupBy("label_source").agg(F.count("*").alias("n"), F.round(F.avg("weight"), 6).alias("weight"), F.max("label").alias("label"))

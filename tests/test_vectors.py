@@ -184,3 +184,34 @@ def test_run_skips_what_is_done(spark, sf, tmp_path):
     assert "POR-001" in html_map(t)
     with pytest.raises(ValueError):
         runs.run(spark, sf, str(tmp_path), only="no")
+
+
+def test_align_across_reference_systems(spark):
+    """A plane in metres, asked for on a grid of degrees, keeps its values at the cells' places."""
+    from cellframe.functions.geometry import project, utm
+    from cellframe.sources.grid import GridSpec
+
+    source, target = GridSpec(430_000.0, 6_190_000.0, 500.0, 40, 40), GridSpec(-69.72, -34.45, 0.01, 12, 10)
+    plane = spark.createDataFrame([(r, c, 2.0 * (430_000 + (c + 0.5) * 500) + 3.0 * (6_190_000 - (r + 0.5) * 500)) for r in range(40) for c in range(40)], "row_id int, col_id int, z double")
+    got = spatial.align(plane, "z", source, target, "bilinear", lambda df: project(df, "x", "y")).where("z IS NOT NULL").collect()
+    inside = 0
+    for r in got:
+        x, y = utm(np.array([target.x0 + (r["col_id"] + 0.5) * 0.01]), np.array([target.y0 - (r["row_id"] + 0.5) * 0.01]), 19, True)
+        if 430_500 < x[0] < 449_500 and 6_170_500 < y[0] < 6_189_500:
+            inside += 1
+            assert r["z"] == pytest.approx(2 * x[0] + 3 * y[0], abs=1e-3)
+    assert inside > 20
+    with pytest.raises(ValueError):
+        spatial.align(plane, "z", source, target, "cubic")
+
+
+def test_valid_points_stay_inside(spark):
+    """A triangle and a box of one group: points lie inside, on valid cells, as dense in both; a group without area has none."""
+    tri, box = [(0, 0, 20, 0), (20, 0, 0, 20), (0, 20, 0, 0)], [(30, 0, 40, 0), (40, 0, 40, 20), (40, 20, 30, 20), (30, 20, 30, 0)]
+    e = spark.createDataFrame([(1, "a", *map(float, x)) for x in tri] + [(2, "a", *map(float, x)) for x in box] + [(3, "b", 5.0, 5.0, 5.0, 5.0)], "feature_id long, zone string, x1 double, y1 double, x2 double, y2 double")
+    raster = spark.createDataFrame([(r, c, None if r < 3 else 1.0) for r in range(20) for c in range(40)], "row_id int, col_id int, v double")
+    from cellframe.operators import labels
+
+    got = labels.valid_points(e, raster, "v", 400, 1).collect()
+    assert len(got) == 400 and all(r["y"] >= 3 and (r["x"] + r["y"] <= 20 if r["feature_id"] == 1 else 30 <= r["x"] <= 40) for r in got)
+    assert 0.6 < sum(r["feature_id"] == 1 for r in got) / sum(r["feature_id"] == 2 for r in got) * 170 / 144.5 < 1.6
