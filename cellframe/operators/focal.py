@@ -170,6 +170,23 @@ def patches(df: DataFrame, value: str, size: int, stride: int, height: int, widt
     return out.select((F.col("pr") * stride).cast("int").alias("row_id"), (F.col("pc") * stride).cast("int").alias("col_id"), (F.col("pr") * stride + size // 2).cast("int").alias("center_row"), (F.col("pc") * stride + size // 2).cast("int").alias("center_col"), "mean", "valid")
 
 
+def patch_pixels(df: DataFrame, bands: Sequence[str], size: int, stride: int, height: int, width: int, least_valid: float = 0.7) -> DataFrame:
+    """(row_id, col_id, center_row, center_col, valid, pixels): full windows every stride cells, as the encoder reads them.
+
+    pixels is a flat array of bands x size x size, missing values 0; valid is the share of the first band's cells that have
+    a value, and windows with less are left out. A window holds size ** 2 cells at most, whatever the raster.
+    """
+    steps = lambda c, n: F.filter(F.sequence(F.floor((F.col(c) - size) / stride) + 1, F.floor(F.col(c) / stride)), lambda k: (k >= 0) & (k * stride + size <= n))
+    rows = df.select(*CELL, *bands).withColumn("pr", F.explode(steps("row_id", height))).withColumn("pc", F.explode(steps("col_id", width)))
+    place = (F.col("row_id") - F.col("pr") * stride) * size + F.col("col_id") - F.col("pc") * stride
+    cell = F.struct(place.cast("int").alias("at"), F.array(*[F.coalesce(F.col(b).cast("double"), F.lit(0.0)) for b in bands]).alias("v"))
+    agg = rows.groupBy("pr", "pc").agg(F.map_from_entries(F.collect_list(cell)).alias("cells"), (F.count(bands[0]) / F.lit(float(size * size))).alias("valid"))
+    one = lambda b: F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda i: F.coalesce(F.element_at(F.element_at("cells", i.cast("int")), b + 1), F.lit(0.0)))
+    pixels = F.flatten(F.array(*[one(b) for b in range(len(bands))]))
+    out = agg.where(F.col("valid") >= least_valid)
+    return out.select(*[(F.col(c) * stride + add).cast("int").alias(name) for name, c, add in (("row_id", "pr", 0), ("col_id", "pc", 0), ("center_row", "pr", size // 2), ("center_col", "pc", size // 2))], "valid", pixels.alias("pixels"))
+
+
 def complete(df: DataFrame, spark: SparkSession, height: int, width: int) -> DataFrame:
     """df with a row for each cell of the raster."""
     cells = spark.range(height * width).select(F.floor(F.col("id") / width).cast("int").alias("row_id"), (F.col("id") % width).cast("int").alias("col_id"))

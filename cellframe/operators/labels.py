@@ -95,6 +95,15 @@ def block_split(df: DataFrame, block: str, label: str, seed: int | str, train: f
     return df.join(named, block)
 
 
+def split(df: DataFrame, block: str, label: str, key: str, seed: int | str, train: float = 0.7, val: float = 0.15) -> DataFrame:
+    """block_split, or where there are fewer than three blocks or only one class, a split of rows by the draw of their key."""
+    n = df.agg(F.count_distinct(block).alias("blocks"), F.count_distinct(label).alias("classes")).first()
+    if n["blocks"] >= 3 and n["classes"] > 1:
+        return block_split(df, block, label, seed, train, val)
+    u = F.conv(F.substring(draw(F.col(key), seed), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return df.withColumn("split", F.when(u < train, "train").when(u < train + val, "val").otherwise("test"))
+
+
 def group_folds(df: DataFrame, block: str, label: str, folds: int, seed: int | str) -> DataFrame:
     """df with a fold by whole blocks, dealt in turn among blocks with and without positives."""
     blocks = df.groupBy(block).agg(F.max(label).alias("has_pos")).withColumn("d", draw(F.col(block), seed))

@@ -368,3 +368,12 @@ def sliding_patches(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = focal.patches(view(spark, sf_dir, "grid"), "dem", 8, 4, _height(spark, sf_dir), 50)
     return out.withColumn("mean", F.round("mean", 9))
 
+
+@query(with_views(""", o AS (SELECT r * 4 AS r, c * 4 AS c FROM (SELECT unnest(range((max(row_id) + 1 - 8) // 4 + 1)) AS r FROM grid), (SELECT unnest(range(11)) AS c))
+SELECT CAST(r AS INTEGER) AS row_id, CAST(c AS INTEGER) AS col_id, CAST(128 AS INTEGER) AS n, count(dem) / 64.0e0 AS valid, round(sum(coalesce(dem, 0) * ((row_id - r) * 8 + col_id - c + 1) + coalesce(v, 0) * ((row_id - r) * 8 + col_id - c + 65)), 4) AS weighted
+FROM o JOIN grid ON row_id BETWEEN r AND r + 7 AND col_id BETWEEN c AND c + 7 GROUP BY r, c HAVING count(dem) / 64.0e0 >= 0.7""", "grid"))
+def patch_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The encoder's input of every window, told by its length and by a sum of pixels weighted by their places."""
+    out = focal.patch_pixels(view(spark, sf_dir, "grid"), ["dem", "v"], 8, 4, _height(spark, sf_dir), 50)
+    weighted = F.aggregate(F.transform("pixels", lambda x, i: x * (i + 1)), F.lit(0.0), lambda acc, x: acc + x)
+    return out.select("row_id", "col_id", F.size("pixels").alias("n"), "valid", F.round(weighted, 4).alias("weighted"))

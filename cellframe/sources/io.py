@@ -39,6 +39,10 @@ class Config:
     min_prob: float = 0.5
     n_top: int = 50
     focal_windows: tuple[int, ...] = (5, 15)
+    n_positive: int = 8000
+    folds: int = 5
+    seed: int = 42
+    model_scale: float = 1.0
     label_sets: Mapping[str, tuple[int, float]] = field(default_factory=lambda: {"nucleo": (1, 1.0), "interpretado": (1, 0.6), "negativo": (0, 1.0)})
 
     @classmethod

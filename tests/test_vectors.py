@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellframe.functions import geometry as geo
-from cellframe.operators import labels, models, spatial, targets
+from cellframe.operators import focal, labels, models, spatial, targets
 
 RING = [(0, 0, 5, 0), (5, 0, 5, 5), (5, 5, 0, 5), (0, 5, 0, 0), (1, 1, 1, 4), (1, 4, 4, 4), (4, 4, 4, 1), (4, 1, 1, 1)]
 
@@ -173,17 +173,37 @@ def test_models_by_type(spark, tmp_path):
 
 def test_run_skips_what_is_done(spark, sf, tmp_path):
     from cellframe.plans import runs
-    from cellframe.sources.io import Config, html_map, load_metadata
-
-    first = runs.run(spark, sf, str(tmp_path), Config(percentile=0.8))
-    assert {v["status"] for v in first.values()} == {"done"}
-    again = runs.run(spark, sf, str(tmp_path), Config(percentile=0.8), start="scores")
-    assert {k: v["status"] for k, v in again.items()} == {"scores": "skipped", "targets": "skipped"}
-    assert load_metadata(spark, f"{tmp_path}/_run")["stages"]["targets"]["status"] == "skipped"
-    t = spark.read.parquet(f"{tmp_path}/targets").selectExpr("*", "col as x", "row as y")
-    assert "POR-001" in html_map(t)
+    from cellframe.sources.io import Config, load_metadata
+
+    cfg = Config(percentile=0.8, patch_size=8, stride=4, n_positive=200, folds=2, model_scale=0.02, min_prob=0.05)
+    out = str(tmp_path)
+    first = runs.run(spark, sf, out, cfg)
+    assert list(first) == [n for n, _ in runs.STAGES] and {v["status"] for v in first.values()} == {"done"}
+    again = runs.run(spark, sf, out, cfg, start="scores")
+    assert {k: v["status"] for k, v in again.items()} == {"scores": "skipped", "targets": "skipped", "export": "skipped"}
+    assert load_metadata(spark, f"{out}/_run")["stages"]["targets"]["status"] == "skipped"
+    assert "POR-001" in spark.read.text(f"{out}/_map").first()[0]
+    assert spark.read.csv(f"{out}/_ranking", header=True).count() == spark.read.parquet(f"{out}/targets").count() > 0
+    table = spark.read.parquet(f"{out}/model").collect()
+    assert {r["model"] for r in table} == {"forest", "boosted", "logistic"} and sum(r["chosen"] for r in table) == 1
+    lab = spark.read.parquet(f"{out}/labels")
+    assert {r["split"] for r in lab.select("split").distinct().collect()} == {"train", "val", "test"} and lab.where("label = 1").count() > 20
+    cells = spark.read.parquet(f"{out}/composite")
+    assert spark.read.parquet(f"{out}/scores").count() == cells.count() == spark.read.parquet(f"{out}/layers").count()
+    e = spark.read.parquet(f"{out}/embeddings")
+    assert e.count() > 50 and len(e.first()["embedding"]) == 4 * len(runs.ENCODED)
     with pytest.raises(ValueError):
-        runs.run(spark, sf, str(tmp_path), only="no")
+        runs.run(spark, sf, out, only="no")
+
+
+def test_pixels_of_patches(spark):
+    z = {(r, c): None if (r, c) == (2, 2) else float(10 * r + c) for r in range(6) for c in range(7)}
+    df = spark.createDataFrame([(r, c, v, None if v is None else -v) for (r, c), v in z.items()], "row_id int, col_id int, a double, b double")
+    got = {(r["row_id"], r["col_id"]): r for r in focal.patch_pixels(df, ["a", "b"], 4, 3, 6, 7, 0.9).collect()}
+    assert set(got) == {(0, 0), (0, 3)} and got[0, 3]["valid"] == 1.0 and got[0, 0]["valid"] == 15 / 16 and (got[0, 3]["center_row"], got[0, 3]["center_col"]) == (2, 5)
+    for (r0, c0), r in got.items():
+        want = [z[r0 + i, c0 + j] or 0.0 for i in range(4) for j in range(4)]
+        assert r["pixels"] == want + [-x for x in want]
 
 
 def test_align_across_reference_systems(spark):
