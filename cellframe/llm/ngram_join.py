@@ -306,8 +306,8 @@ def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             keep = []
-            for x, y in zip(batch["s1"].to_pylist(), batch["s2"].to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+            for x, y in zip(batch["s1"], batch["s2"], strict=True):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
                 common = len(x) + len(y) - len(distinct(np.sort(np.concatenate([x, y]))))
                 keep.append(DEN * common >= NUM * (len(x) + len(y) - common))
             at = pa.array(keep, pa.bool_())
@@ -354,6 +354,19 @@ def components(edges: DataFrame) -> DataFrame:
     return out
 
 
+def _joined(comps: DataFrame | None, links: DataFrame) -> DataFrame:
+    """Components (node, comp) after further links (a, b): only these links and the components that they join take part."""
+    if comps is None:
+        return written(components(links), "comps")
+    if not links.limit(1).count():
+        return comps
+    for end in ("a", "b"):
+        links = links.join(comps.toDF(end, "comp"), end, "left").withColumn(end, F.coalesce("comp", end)).drop("comp")
+    more = written(components(links), "more")
+    out = comps.join(more.toDF("comp", "next"), "comp", "left").select("node", F.coalesce("next", "comp").alias("comp"))
+    return written(out.unionByName(more.join(comps.select("node"), "node", "left_anti")), "comps")
+
+
 def ngram_jaccard_join(docs: DataFrame, long: int = LONG, sample: int = SAMPLE) -> DataFrame:
     """doc_id, n_shingles (long), component_id (smallest doc_id reachable by links, itself included).
 
@@ -388,7 +401,6 @@ def ngram_jaccard_join(docs: DataFrame, long: int = LONG, sample: int = SAMPLE)
     groups = groups.join(listed, "gid", "left_semi")
 
     comps: DataFrame | None = None
-    links: DataFrame | None = None
     tested: DataFrame | None = None
     refused: DataFrame | None = None
     for which in ("centre", "last", "all"):
@@ -416,9 +428,7 @@ def ngram_jaccard_join(docs: DataFrame, long: int = LONG, sample: int = SAMPLE)
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = written(pairs, "pairs")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        new = written(_verified(pairs, docs), "links")
-        links = new if links is None else links.unionByName(new)
-        comps = written(components(links), "comps")
+        comps = _joined(comps, written(_verified(pairs, docs), "links"))
 
     named = sets.select("set_key", "node").join(comps, "node", "left").select("set_key", F.coalesce("comp", "node").alias("comp"))
     out = members.where(linkable).join(named, "set_key").select("doc_id", F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"))

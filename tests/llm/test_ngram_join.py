@@ -111,3 +111,11 @@ def test_edge_tables(odd_docs, no_docs):
     by = {r["doc_id"]: r for r in got}
     assert by[2]["component_id"] == 1 and by[None]["component_id"] is None and by[3]["n_shingles"] == 0 and by[8]["component_id"] == 7
     assert ngram_join.ngram_jaccard_join(no_docs).count() == 0
+
+
+def test_components_of_further_links(spark):
+    frame = lambda *rows: spark.createDataFrame(rows, "a long, b long")
+    one = ngram_join._joined(None, frame((1, 2), (5, 6), (20, 21)))
+    assert ngram_join._joined(one, spark.createDataFrame([], "a long, b long")) is one
+    two = ngram_join._joined(one, frame((2, 5), (6, 9), (9, 10), (30, 31)))
+    assert {r["node"]: r["comp"] for r in two.collect()} == {**dict.fromkeys((1, 2, 5, 6, 9, 10), 1), 20: 20, 21: 20, 30: 30, 31: 30}
