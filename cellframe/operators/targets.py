@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cellframe.functions.algebra import target_id
 from cellframe.functions.ranks import percentiles
+from cellframe.operators import graphs
 from cellframe.sources.scratch import written
 
 
@@ -25,7 +26,7 @@ def components(cells: DataFrame, width: int) -> DataFrame:
     """cells (row_id, col_id) with `component`, the smallest row_id * width + col_id of its 4-connected region.
 
     Cells of a row join into runs, and touching runs of neighbouring rows are edges. Runs hook onto their smallest
-    neighbour and chains are cut short, so rounds grow with the logarithm of a region, not with its length.
+    neighbour and chains are cut short, so rounds grow with the logarithm of a region, not with its length (see graphs).
     """
     across = Window.partitionBy("row_id").orderBy("col_id")
     marked = cells.select("row_id", "col_id").distinct().withColumn("g", F.col("col_id") - F.row_number().over(across))
@@ -37,20 +38,8 @@ def components(cells: DataFrame, width: int) -> DataFrame:
     spread = lambda df, a, b: df.withColumn("block", F.explode(F.sequence(F.floor(F.col(a) / size), F.floor(F.col(b) / size))))
     upper = spread(runs.select((F.col("row_id") + 1).alias("row_id"), F.col("c0").alias("u0"), F.col("c1").alias("u1"), F.col("run").alias("a")), "u0", "u1")
     lower = spread(runs.select("row_id", "c0", "c1", F.col("run").alias("b")), "c0", "c1")
-    edges = written(upper.join(lower, ["row_id", "block"]).where("u0 <= c1 AND c0 <= u1").select("a", "b").distinct(), "edges")
-    label = runs.select("run", F.col("run").alias("component"))
-    while edges.limit(1).count():
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        hooks = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("to")), "hooks")
-        moved = True
-        while moved:
-            up = hooks.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            hooks = written(hooks.join(up, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")), "hooks")
-            moved = hooks.where("moved").limit(1).count() > 0
-        hooks = hooks.select("node", "to")
-        label = written(label.join(hooks.toDF("component", "to"), "component", "left").select("run", F.coalesce("to", "component").alias("component")), "label")
-        ends = edges.join(hooks.toDF("a", "x"), "a").join(hooks.toDF("b", "y"), "b").where("x <> y")
-        edges = written(ends.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "edges")
+    edges = upper.join(lower, ["row_id", "block"]).where("u0 <= c1 AND c0 <= u1").select("a", "b")
+    label = runs.select("run").join(graphs.components(edges).toDF("run", "component"), "run", "left").withColumn("component", F.coalesce("component", "run"))
     named = marked.join(runs.join(label, "run").select("row_id", "g", "component"), ["row_id", "g"])
     return cells.join(named.select("row_id", "col_id", "component"), ["row_id", "col_id"])
 
