@@ -3,7 +3,8 @@
 Each item is compared with windows of its own number of words. A window's SimHash is taken over its weighted 5-word
 shingles; an index of eight 8-bit blocks finds every item whose fingerprint is within the radius, since of ``RADIUS``
 differing bits some block has at most ``RADIUS // 8``; then the weighted Jaccard similarity of whole shingle multisets
-decides. Windows that share no shingle with any item have similarity 0, and are passed over before fingerprinting.
+decides. Windows that share no shingle with any item, and items that share none with a text, have similarity 0 there, and
+are passed over before fingerprinting.
 
 Documents are never shuffled. Items go to the tasks in blocks of ``BLOCK``; a benchmark of more items takes a pass over the
 documents for each block. Weights are counted over the whole benchmark, so verdicts do not depend on blocks or order; what is
@@ -29,8 +30,8 @@ RADIUS = 24
 BLOCKS = 8
 #: Items sent to the tasks at once.
 BLOCK = 20_000
-#: Window starts fingerprinted at once.
-SPAN = 4096
+#: Window starts fingerprinted at once, and pairs of windows and items compared at once.
+SPAN, PAIRS = 4096, 1 << 20
 
 
 class Weights:
@@ -61,12 +62,12 @@ class ItemIndex:
                 self.sizes.append(len(h))
                 shingles.append(shingles_at(h, min(K, len(h))))
         self.ks = sorted({min(K, n) for n in self.sizes})
-        where = defaultdict(set)
+        where = defaultdict(lambda: defaultdict(set))
         for i, s in enumerate(shingles):
             for x in s.tolist():
-                where[x].add(i)
+                where[x][self.sizes[i]].add(i)
         self.known = np.array(sorted(where), np.uint64)
-        self.holders = [sorted(where[x]) for x in self.known.tolist()]
+        self.holders = [dict(where[x]) for x in self.known.tolist()]  # by size
         self.filled = np.zeros(1 << 22, bool)
         self.filled[bucket_of(self.known)] = True
         self.by_size = {}
@@ -107,25 +108,34 @@ class ItemIndex:
                 continue
             at = np.minimum(np.searchsorted(self.known, s[seeds]), len(self.known) - 1)
             hit = self.known[at] == s[seeds]
-            places = defaultdict(list)
+            places, sharing = defaultdict(list), defaultdict(set)
             for p, x in zip(seeds[hit].tolist(), at[hit].tolist(), strict=True):
-                for n in {self.sizes[i] for i in self.holders[x] if min(K, self.sizes[i]) == k}:
-                    places[n].append(p)
+                for n, some in self.holders[x].items():
+                    if min(K, n) == k:
+                        places[n].append(p)
+                        sharing[n] |= some
             for n, ps in places.items():
                 length = min(n, len(h)) - k + 1
                 ends = np.zeros(len(s) + 1, np.int64)  # windows that hold a seed start within length - 1 places before it
                 np.add.at(ends, np.maximum(0, np.array(ps) - length + 1), 1)
                 np.add.at(ends, np.array(ps) + 1, -1)
                 starts = np.flatnonzero(np.cumsum(ends)[: len(s) - length + 1])
-                self._match(s, starts, length, n, out)
+                self._match(s, starts, length, n, sorted(sharing[n]), out)
         return out
 
-    def _match(self, s: np.ndarray, starts: np.ndarray, length: int, n: int, out: dict[int, tuple[float, int, int]]) -> None:
-        items, prints, blocks = self.by_size[n]
-        at = 0
+    def _match(self, s: np.ndarray, starts: np.ndarray, length: int, n: int, items: list[int], out: dict[int, tuple[float, int, int]]) -> None:
+        """Puts the best window of each of items, all of size n, into out: the most similar, the nearest, the first."""
+        every, prints, blocks = self.by_size[n]
+        part = np.searchsorted(every, items)
+        for i in range(0, len(part), PAIRS):  # a block's items fit one turn; a larger BLOCK takes more
+            some = part[i : i + PAIRS]
+            self._near(s, starts, length, every[some], prints[some], [b[:, some] for b in blocks], out)
+
+    def _near(self, s: np.ndarray, starts: np.ndarray, length: int, items: np.ndarray, prints: np.ndarray, blocks: list[np.ndarray], out: dict[int, tuple[float, int, int]]) -> None:
+        at, most = 0, max(1, PAIRS // len(items))
         while at < len(starts):
             lo = starts[at]
-            to = int(np.searchsorted(starts, lo + SPAN))
+            to = min(int(np.searchsorted(starts, lo + SPAN)), at + most)
             some = starts[at:to]
             seen = self._prints(s[lo : some[-1] + length], some - lo, length)
             own = seen.view(np.uint8).reshape(-1, 8)
@@ -138,11 +148,12 @@ class ItemIndex:
             w, i, apart = w[keep], i[keep], apart[keep]
             for j in np.argsort(apart, kind="stable").tolist():
                 item, start = int(items[i[j]]), int(some[w[j]])
-                if out.get(item, (0.0,))[0] == 1.0:
+                best, first, bits = out.get(item, (0.0, 0, 0))
+                if best == 1.0:
                     continue
-                sim = self.similarity(item, s[start : start + length])
-                if sim >= SIMILARITY and sim > out.get(item, (0.0,))[0]:
-                    out[item] = (sim, start, int(apart[j]))
+                sim, differ = self.similarity(item, s[start : start + length]), int(apart[j])
+                if sim >= SIMILARITY and (sim, -differ, -start) > (best, -bits, -first):
+                    out[item] = (sim, start, differ)
             at = to
 
 

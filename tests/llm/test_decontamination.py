@@ -76,6 +76,13 @@ def test_blocks_of_items(spark, sf, monkeypatch):
     assert {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated_passages(docs, items).collect()} == one
 
 
+def test_pairs_compared_at_once(spark, sf, monkeypatch):
+    docs, items = spark.read.parquet(f"{sf}/documents.parquet").limit(200), spark.read.parquet(f"{sf}/benchmark.parquet")
+    one = sorted(decontamination.contaminated_passages(docs, items).collect())
+    monkeypatch.setattr(decontamination, "PAIRS", 3)
+    assert sorted(decontamination.contaminated_passages(docs, items).collect()) == one
+
+
 def test_weights_of_the_whole_benchmark(spark, monkeypatch):
     template = [f"t{i}" for i in range(24)]
     items = [(i, " ".join(template + [f"own{i}x{j}" for j in range(20)])) for i in range(8)]
