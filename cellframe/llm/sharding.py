@@ -28,21 +28,26 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     return F.array_max(F.array(*[F.struct(_score(key, i, w).alias("score"), F.lit(i).alias("shard")) for i, w in enumerate(weights)]))["shard"]
 
 
-def sharded(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", parts: int = PARTS) -> DataFrame:
+def part_of(key: Column, spread: Sequence[str], parts: int) -> Column:
+    return F.pmod(F.xxhash64(F.coalesce(key.cast("string"), F.lit("")), F.lit("part"), *spread), F.lit(parts)).cast("int")
+
+
+def sharded(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", parts: int = PARTS, spread: Sequence[str] = ()) -> DataFrame:
     """docs with `shard` (int) and `slot` (long, 0, 1, 2, ... within the shard).
 
     Key and weights alone decide on the shard, so rows that repeat a key share it; null keys share one. Slots follow
-    the hash of the key and then the key; rows that repeat a key get different slots. Counts by shard and part need
-    the key column only; parts times shards, a fixed number, bounds the table of offsets. Columns of docs that clash
-    with the new ones are replaced. An empty table gives an empty result.
+    the hash of the key and of the columns in spread, then these; rows that repeat a key get different slots. spread
+    names columns, cheap to read, by which rows of one very frequent key (null, say) go to different parts. Counts by
+    shard and part need key and spread only; parts times shards, a fixed number, bounds the table of offsets. Columns
+    of docs that clash with the new ones are replaced. An empty table gives an empty result.
     """
-    part = F.pmod(F.xxhash64(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit("part")), F.lit(parts)).cast("int")
+    part = part_of(F.col(key), spread, parts)
     keys = docs.select(rendezvous(F.col(key), weights).alias("shard"), part.alias("__part"))
     counts = keys.groupBy("shard", "__part").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("shard", "__part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__offset"))
     rows = docs.drop("shard", "slot").withColumns({"shard": rendezvous(F.col(key), weights), "__part": part})
-    within = Window.partitionBy("shard", "__part").orderBy(F.col(key))
+    within = Window.partitionBy("shard", "__part").orderBy(key, *spread)
     rows = rows.withColumn("__row", F.row_number().over(within)).join(F.broadcast(offsets), ["shard", "__part"])
     return rows.withColumn("slot", (F.col("__offset") + F.col("__row") - 1).cast("long")).select(*docs.drop("shard", "slot").columns, "shard", "slot")
 
@@ -50,6 +55,6 @@ def sharded(docs: DataFrame, weights: Sequence[float], key: str = "doc_id", part
 def op8_sharding(spark: SparkSession, sf_dir: str, shards: int = 16) -> DataFrame:
     """Every document in shards 0 to 15 of equal weight, by the law of keys."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = sf_table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
-    out = sharded(docs, [1.0] * shards)
+    docs = sf_table(spark, sf_dir, "documents").select("doc_id", "source", "n_chars", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"))
+    out = sharded(docs, [1.0] * shards, spread=("source", "n_chars"))
     return out.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", rendezvous(F.col("doc_id"), [1.0] * (shards + 1)).alias("grown_shard"))

@@ -33,3 +33,18 @@ def test_edge_tables(odd_docs, no_docs):
     assert all(sorted(x) == list(range(len(x))) for x in by.values())
     assert len({r["shard"] for r in got if r["doc_id"] == 2}) == 1
     assert sharding.sharded(no_docs, [1.0] * 4).count() == 0
+
+
+def test_frequent_key(spark):
+    docs = spark.range(6000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc_id"), (F.col("id") % 400).alias("n_chars"))
+    plain, spread = (sharding.sharded(docs, [1.0] * 4, parts=64, spread=s).collect() for s in ((), ("n_chars",)))
+    for rows in (plain, spread):
+        by = {}
+        for r in rows:
+            by.setdefault(r["shard"], []).append(r["slot"])
+        assert all(sorted(x) == list(range(len(x))) for x in by.values())
+    assert len({r["shard"] for r in spread if r["doc_id"] is None}) == 1
+    assert {(r["doc_id"], r["shard"]) for r in plain} == {(r["doc_id"], r["shard"]) for r in spread}
+    part = sharding.part_of(F.col("doc_id"), ("n_chars",), 64)
+    most = docs.where("doc_id IS NULL").groupBy(part).count().agg({"count": "max"}).first()[0]
+    assert most < 2000 / 8
