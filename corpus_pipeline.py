@@ -50,7 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds shard (0 to 15) and slot."""
-    return sharded(docs, [1.0] * SHARDS)
+    return sharded(docs, [1.0] * SHARDS, spread=("source", "n_chars"))
 
 
 STAGES = [
