@@ -21,8 +21,9 @@ EPOCHS = 3
 DIGITS = 3
 
 
-def order_key(doc_id: Column) -> Column:
-    return F.md5(F.coalesce(doc_id.cast("string"), F.lit("")))
+def order_key(*columns: str) -> Column:
+    """The hash of doc_id and of further columns; nulls count as empty."""
+    return F.md5(F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]))
 
 
 def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
@@ -45,15 +46,16 @@ def targets(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EP
     return level.select("source", "source_size", F.least(F.col("ceiling").cast("double"), F.col("level") * F.col("weight")).alias("target"))
 
 
-def mixed_words(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
+def mixed_words(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS, spread: Sequence[str] = ()) -> DataFrame:
     """doc_id, source, size with key, source_size, target, full (whole epochs), start, budget and taken.
 
     sizes needs doc_id, source, size; it is read several times, so pass a written table. start is the words of the
     source before the document in key order; budget is what the last, incomplete epoch takes. The document at the cut
     gives only the words up to it. Nulls: a null source is a source, the last one; a null doc_id has one fixed key; a
-    null size is 0. Rows that repeat a doc_id count each. Documents without words are taken with none.
+    null size is 0. Rows that repeat a doc_id count each. Documents without words are taken with none. spread names
+    further columns that go into the key, so that rows of one very frequent doc_id (null, say) lie in many ranges.
     """
-    sizes = sizes.select("doc_id", "source", F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"), order_key(F.col("doc_id")).alias("key"))
+    sizes = sizes.select("doc_id", "source", F.coalesce(F.col("size"), F.lit(0)).cast("long").alias("size"), order_key("doc_id", *spread).alias("key"))
     sizes = sizes.withColumn("range", hex_bucket(F.col("key"), DIGITS))
     before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     ranges = sizes.groupBy("source", "range").agg(F.sum("size").alias("n")).withColumn("offset", F.coalesce(F.sum("n").over(before), F.lit(0)))
@@ -69,33 +71,35 @@ def mixed_words(sizes: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int
     return rows.withColumn("taken", (F.col("full") * F.col("size") + last).cast("long"))
 
 
-def _sizes(docs: DataFrame) -> DataFrame:
-    return written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "sizes")
+def _sizes(docs: DataFrame, spread: Sequence[str] = ()) -> DataFrame:
+    return written(docs.select("doc_id", "source", *spread, word_count(F.col("text")).alias("size")), "sizes")
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, epochs: int = EPOCHS, spread: Sequence[str] = ()) -> DataFrame:
     """The rows of docs that the mix takes, a row for each time; columns as before.
 
     A document at the cut is taken whole if its middle is within the budget. Only keys and sizes are sorted; texts are
-    filtered where they lie, by their source's last key.
+    filtered where they lie, by their source's last key. Rows with equal keys, of doc_id and the columns in spread, are
+    taken together.
     """
-    words = mixed_words(_sizes(docs), weights, epochs)
+    words = mixed_words(_sizes(docs, spread), weights, epochs, spread)
     inside = (F.col("start") + F.col("size") / 2 <= F.col("budget")) & (F.col("budget") > 0)
     cut = words.groupBy("source").agg(F.first("full").alias("__full"), F.max(F.when(inside, F.col("key"))).alias("__cut")).withColumnRenamed("source", "__source")
     cut = written(cut, "cut")
     rows = docs.join(cut, F.col("source").eqNullSafe(F.col("__source")))
-    times = (F.col("__full") + F.coalesce((order_key(F.col("doc_id")) <= F.col("__cut")).cast("long"), F.lit(0))).cast("int")
+    times = (F.col("__full") + F.coalesce((order_key("doc_id", *spread) <= F.col("__cut")).cast("long"), F.lit(0))).cast("int")
     return rows.withColumn("__times", F.array_repeat(F.lit(1), times)).withColumn("__time", F.explode("__times")).select(*docs.columns)
 
 
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mixed_words(_sizes(sf_table(spark, sf_dir, "documents")))
+    spread = ("n_chars",)
+    rows = mixed_words(_sizes(sf_table(spark, sf_dir, "documents"), spread), spread=spread)
     return rows.select("doc_id", "size", "source_size", "target", "taken", "source", "start")
 
 
 ORACLE = r"""
 WITH d AS (
-  SELECT doc_id, source, md5(CAST(doc_id AS VARCHAR)) AS k,
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(CAST(n_chars AS VARCHAR), '')) AS k,
     CAST(len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS BIGINT) AS size FROM documents
 ), s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source
 ), w AS (SELECT *, [1, 2, 3][place % 3 + 1] AS weight, 3 * source_size AS ceiling FROM s

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from cellframe.llm import mixing
 
@@ -46,3 +47,14 @@ def test_edge_tables(odd_docs, no_docs):
     rows = mixing.mixed_words(sizes).collect()
     assert len(rows) == odd_docs.count()
     assert {r["source_size"] for r in rows if r["source"] is None} == {243}
+
+
+def test_frequent_id(spark):
+    """Rows of one id lie in many ranges, and the mix comes near its target although they are half of a source."""
+    docs = spark.range(3000).select(F.when(F.col("id") % 2 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("s"), F.col("id") % 3).alias("source"), F.expr("repeat('w ', 10)").alias("text"), (F.col("id") % 500).alias("n_chars"))
+    spread = ("n_chars",)
+    rows = mixing.mixed_words(mixing._sizes(docs, spread), spread=spread).collect()
+    assert len({r["key"] for r in rows if r["doc_id"] is None}) > 200
+    goal = {r["source"]: r["target"] for r in rows}
+    taken = {r["source"]: r["n"] * 10 for r in mixing.mix(docs, spread=spread).groupBy("source").agg(F.count("*").alias("n")).collect()}
+    assert all(abs(taken[s] - t) < 0.02 * t + 100 for s, t in goal.items())
