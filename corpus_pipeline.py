@@ -45,7 +45,7 @@ def drop_benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes sources to their target weights; a document taken again is a row again."""
-    return mix(docs)
+    return mix(docs, spread=("n_chars",))
 
 
 def assign_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
