@@ -1,12 +1,14 @@
 """Joins in the plane. Every one has an integer bin as an equality key, so none is a nested loop or a broadcast by force.
 
 Features come as edge frames (key, x1, y1, x2, y2). A ray to the right of a point meets only edges that span its y, so a
-strip of y is the bin of point-in-polygon; for distances the bin is a square of the radius, and one side goes to nine.
+strip of y is the bin of point-in-polygon. For distances of points, square cells are paired, and pairs halved until few
+places are left to compare; for those of segments the bin is a square of the distance.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -74,6 +76,77 @@ def burn(cells: DataFrame, edges: DataFrame, key: str = "feature_id", strip: flo
     return cells.join(last, ["row_id", "col_id"], "left").withColumn("code", F.coalesce("code", F.lit(-1).cast("long")))
 
 
+def _places(df: DataFrame, x: str, y: str) -> DataFrame:
+    """(x, y, w): the places that rows lie in and how many, so that copies are compared once; a place has two finite numbers."""
+    finite = (F.abs(x) < float("inf")) & (F.abs(y) < float("inf"))
+    return written(df.where(finite).groupBy(F.col(x).alias("x"), F.col(y).alias("y")).agg(F.count("*").alias("w")), "places")
+
+
+def _around(cells: DataFrame) -> DataFrame:
+    near = F.array(F.lit(-1), F.lit(0), F.lit(1))
+    out = cells.withColumn("nx", F.explode(F.transform(near, lambda d: F.col("bx") + d)))
+    return out.withColumn("ny", F.explode(F.transform(near, lambda d: F.col("by") + d)))
+
+
+#: Pairs of cells with up to LEAF comparisons of places are halved no more; if all others together have up to FEW, none is.
+LEAF, FEW = 256, 1 << 22
+#: What bins may be off by, in cells, while no coordinate is beyond REACH cells.
+SLACK, REACH = 1e-6, 2.0**30
+
+
+def _halved(p: DataFrame, o: DataFrame, size: float, reach: float, sift: Callable[[DataFrame, float], DataFrame]) -> tuple[DataFrame, DataFrame, list[float]]:
+    """Pairs of cells of p and o (places), halved until few places are left to compare: (pairs to compare, pairs that are inside, sizes).
+
+    Neighbouring cells of the first size are paired, later those within pairs. sift gets each round's pairs (ax, ay and bx, by; w:
+    rows of o's cell; low, high: bounds of the square of the distance, in cells) and the size, leaves out what cannot count, and
+    adds "inside", true where all of o's cell counts for all of p's. level is the place of a pair's cells in sizes.
+    """
+    cells = lambda df, c: df.groupBy(bin_of(F.col("x"), size).alias(f"{c}x"), bin_of(F.col("y"), size).alias(f"{c}y"))
+    up = lambda df, c: df.withColumns({f"{c}x0": F.shiftright(f"{c}x", 1), f"{c}y0": F.shiftright(f"{c}y", 1)})
+    far = lambda i: F.abs(F.col(f"a{i}") - F.col(f"b{i}"))
+    compare, inside, sizes, left = [], [], [], None
+    while True:
+        a = cells(p, "a").agg(F.count("*").cast("double").alias("an"))
+        b = cells(o, "b").agg(F.count("*").cast("double").alias("bn"), F.sum("w").alias("w"))
+        if left is None:
+            pairs = a.withColumns({"nx": F.col("ax"), "ny": F.col("ay")}).join(_around(b), ["nx", "ny"])
+        else:
+            left = left.select(*[F.col(c).alias(f"{c}0") for c in ("ax", "ay", "bx", "by")])
+            pairs = left.join(up(a, "a"), ["ax0", "ay0"]).join(up(b, "b"), ["bx0", "by0"])
+        bounds = {"low": sum(F.pow(F.greatest(far(i) - F.lit(1 + SLACK), F.lit(0.0)), 2) for i in "xy"), "high": sum(F.pow(far(i) + F.lit(1 + SLACK), 2) for i in "xy")}
+        pairs = sift(pairs.withColumns(bounds), size).select("ax", "ay", "bx", "by", "w", "inside", (F.col("an") * F.col("bn")).alias("cost"))
+        pairs = written(pairs.withColumn("level", F.lit(len(sizes))), "cells")
+        sizes.append(size)
+        inside.append(pairs.where("inside"))
+        large = pairs.where(~F.col("inside") & (F.col("cost") > LEAF))
+        if (large.agg(F.sum("cost")).first()[0] or 0) <= FEW or size / 2 * REACH < reach:
+            compare.append(pairs.where("NOT inside"))
+            return reduce(DataFrame.unionByName, compare), reduce(DataFrame.unionByName, inside), sizes
+        compare.append(pairs.where(~F.col("inside") & (F.col("cost") <= LEAF)))
+        left, size = large, size / 2
+
+
+def _in_cells(places: DataFrame, sizes: Sequence[float], c: str) -> DataFrame:
+    """places once for each size, with level and cell."""
+    cells = [F.struct(F.lit(i).alias("level"), bin_of(F.col("x"), s).alias(f"{c}x"), bin_of(F.col("y"), s).alias(f"{c}y")) for i, s in enumerate(sizes)]
+    return places.withColumn("cell", F.explode(F.array(*cells))).select("*", "cell.*").drop("cell")
+
+
+def _compared(p: DataFrame, o: DataFrame, pairs: DataFrame, sizes: Sequence[float]) -> DataFrame:
+    """(x, y, w, d2): p's places with each of o's in paired cells, o's number of rows and the square of the distance."""
+    others = _in_cells(o.withColumnsRenamed({"x": "ox", "y": "oy"}).withColumns({"x": F.col("ox"), "y": F.col("oy")}), sizes, "b").drop("x", "y")
+    pairs = pairs.select("level", "ax", "ay", "bx", "by").join(others, ["level", "bx", "by"])
+    dx, dy = F.col("x") - F.col("ox"), F.col("y") - F.col("oy")
+    return pairs.join(_in_cells(p.drop("w"), sizes, "a"), ["level", "ax", "ay"]).select("x", "y", "w", (dx * dx + dy * dy).alias("d2"))
+
+
+def _extent(*places: DataFrame) -> tuple[float, float]:
+    """The longer side of the box around places, and their largest coordinate."""
+    ends = [f(c) for c in ("x", "y") for f in (F.min, F.max)]
+    x0, x1, y0, y1 = (float(v or 0) for v in reduce(DataFrame.unionByName, [p.select("x", "y") for p in places]).agg(*ends).first())
+    return max(x1 - x0, y1 - y0), max(map(abs, (x0, x1, y0, y1)))
+
+
 def _nine(df: DataFrame, size: float, x: str, y: str) -> DataFrame:
     near = F.array(F.lit(-1), F.lit(0), F.lit(1))
     out = df.withColumn("bx", F.explode(F.transform(near, lambda d: bin_of(F.col(x), size) + d)))
@@ -97,18 +170,26 @@ def density(points: DataFrame, others: DataFrame, radius: float, pid: str = "id"
 
 
 def nearest(points: DataFrame, others: DataFrame, start: float, pid: str = "id") -> DataFrame:
-    """(pid, distance) to the nearest of others, in rings: radii double until every point has one.
+    """(pid, distance) to the nearest of others (ox, oy), NULL for a point without a place or if there are no others.
 
-    Only points without a neighbour go on, and a ring is exact as its pairs are all within its radius.
+    Cells of start times a power of two that cover everything are halved; of others' cells only those go on that may
+    be nearer than the farthest corner of the nearest one.
     """
-    if not others.limit(1).count():
-        return points.select(pid, F.lit(None).cast("double").alias("distance"))
-    left, radius, out = points.select(pid, "x", "y"), float(start), None
-    while left.limit(1).count():
-        found = written(within_radius(left, others, radius, pid).groupBy(pid).agg(F.sqrt(F.min("d2")).alias("distance")), "near")
-        out = found if out is None else out.unionByName(found)
-        left, radius = written(left.join(found, pid, "left_anti"), "left"), radius * 2
-    return out if out is not None else points.select(pid, F.lit(None).cast("double").alias("distance"))
+    if start <= 0:
+        raise ValueError(f"start is {start}")
+    p, o = _places(points, "x", "y"), _places(others, "ox", "oy")
+    extent, reach = _extent(p, o)
+    size = float(start)
+    while size < extent:
+        size *= 2
+
+    def sift(pairs: DataFrame, size: float) -> DataFrame:
+        least = F.min("high").over(Window.partitionBy("ax", "ay"))
+        return pairs.withColumn("least", least).where("low <= least").withColumn("inside", F.lit(False))
+
+    pairs, _, sizes = _halved(p, o, size, reach, sift)
+    found = _compared(p, o, pairs, sizes).groupBy("x", "y").agg(F.sqrt(F.min("d2")).alias("distance"))
+    return points.select(pid, "x", "y").join(found, ["x", "y"], "left").groupBy(pid).agg(F.min("distance").alias("distance"))
 
 
 def near_segments(points: DataFrame, segments: DataFrame, distance: float, pid: str = "id") -> DataFrame:

@@ -1,4 +1,6 @@
 import random
+import threading
+from contextlib import contextmanager
 
 import numpy as np
 import pytest
@@ -43,6 +45,62 @@ def test_radius_and_nearest_equal_brute_force(spark, radius):
     assert near == pytest.approx({a[0]: min(d(a, b) for b in o) ** 0.5 for a in p})
 
 
+@contextmanager
+def at_most(spark, seconds):
+    """Cancels what still runs after so many seconds."""
+    timer = threading.Timer(seconds, spark.sparkContext.cancelAllJobs)
+    timer.start()
+    try:
+        yield
+    finally:
+        timer.cancel()
+
+
+def odd_places(seed):
+    """Points and others with copies, equal distances, crowds far from others, and rows without a place."""
+    rng = random.Random(seed)
+    at = lambda: rng.choice([(float(rng.randint(-8, 8)), float(rng.randint(-8, 8))), (rng.uniform(-9, 9), rng.uniform(-9, 9)), (500 + rng.gauss(0, 1e-3), -0.0)])
+    p = [(i, *at()) for i in range(150)] + [(1000, None, 1.0), (1001, 1.0, float("nan")), (1002, float("inf"), 0.0)]
+    return p, [at() for _ in range(150)] + [(None, 2.0), (float("nan"), 0.0), (float("-inf"), 0.0)]
+
+
+def placed(p, o):
+    """For each point, the squares of its distances to others."""
+    o = [b for b in o if b[0] is not None and np.isfinite(b).all()]
+    return {i: [(x - a) * (x - a) + (y - b) * (y - b) for a, b in o] if i < 1000 else [] for i, x, y in p}
+
+
+def crowd(spark, n, x, y, shift=0.0):
+    """n rows in n places of a square of side 2."""
+    side = round(n**0.5)
+    return spark.range(side * side).selectExpr("id", f"(id % {side}) * {2 / side}D + {shift}D as {x}", f"floor(id / {side}) * {2 / side}D as {y}")
+
+
+def copies(spark, n, x, y):
+    """n rows in 20 places."""
+    return spark.range(n).selectExpr("id", f"cast(id % 5 as double) as {x}", f"cast(id % 4 as double) as {y}")
+
+
+@pytest.mark.parametrize("leaf", [4, 256])
+def test_nearest_halved_to_the_end(spark, monkeypatch, leaf):
+    monkeypatch.setattr(spatial, "LEAF", leaf)
+    monkeypatch.setattr(spatial, "FEW", 0)
+    p, o = odd_places(leaf)
+    with at_most(spark, 200):
+        got = {r["id"]: r["distance"] for r in spatial.nearest(spark.createDataFrame(p, "id long, x double, y double"), spark.createDataFrame(o, "ox double, oy double"), 3.0).collect()}
+    assert got == {i: min(d) ** 0.5 if d else None for i, d in placed(p, o).items()}
+
+
+def test_nearest_does_not_pair_copies_or_crowds(spark):
+    with at_most(spark, 120):
+        got = spatial.nearest(copies(spark, 300_000, "x", "y"), copies(spark, 300_000, "ox", "oy").selectExpr("ox + 0.25 as ox", "oy"), 2.0)
+        assert [tuple(r) for r in got.groupBy("distance").count().collect()] == [(0.25, 300_000)]
+    with at_most(spark, 120):
+        got = spatial.nearest(crowd(spark, 90_000, "x", "y"), crowd(spark, 90_000, "ox", "oy", 1e-3), 4.0)
+        low, high, n = got.agg(F.min("distance"), F.max("distance"), F.count("distance")).first()
+        assert n == 90_000 and low == pytest.approx(1e-3) and high == pytest.approx(1e-3)
+
+
 def test_densify_walks_bends(spark):
     lines = spark.createDataFrame([(1, 1, 0.0, 0.0, 3.0, 0.0), (1, 2, 3.0, 0.0, 3.0, 3.0), (2, 1, 0.0, 0.0, 0.5, 0.0)], "feature_id long, seg int, x1 double, y1 double, x2 double, y2 double")
     got = [tuple(r) for r in spatial.densify(lines.withColumnRenamed("seg", "o"), 1.0, order="o").orderBy("feature_id", "i").collect()]
