@@ -147,23 +147,22 @@ def _extent(*places: DataFrame) -> tuple[float, float]:
     return max(x1 - x0, y1 - y0), max(map(abs, (x0, x1, y0, y1)))
 
 
-def _nine(df: DataFrame, size: float, x: str, y: str) -> DataFrame:
-    near = F.array(F.lit(-1), F.lit(0), F.lit(1))
-    out = df.withColumn("bx", F.explode(F.transform(near, lambda d: bin_of(F.col(x), size) + d)))
-    return out.withColumn("by", F.explode(F.transform(near, lambda d: bin_of(F.col(y), size) + d)))
-
-
-def within_radius(points: DataFrame, others: DataFrame, radius: float, pid: str = "id") -> DataFrame:
-    """Pairs (pid, d2, and others' columns ox, oy) of points within a closed radius; others: ox, oy."""
-    p = points.select(pid, "x", "y").withColumns({"bx": bin_of(F.col("x"), radius), "by": bin_of(F.col("y"), radius)})
-    dx, dy = F.col("x") - F.col("ox"), F.col("y") - F.col("oy")
-    pairs = p.join(_nine(others.select("ox", "oy"), radius, "ox", "oy"), ["bx", "by"]).withColumn("d2", dx * dx + dy * dy)
-    return pairs.where(F.col("d2") <= radius * radius).select(pid, "d2", "ox", "oy")
+def density(points: DataFrame, others: DataFrame, radius: float, pid: str = "id") -> DataFrame:
+    """points with the number of others (ox, oy) within the closed radius, and that over the largest number.
 
+    Cells that lie within the radius as a whole are counted as a whole; only places in cells at its border are compared.
+    """
+    p, o = _places(points, "x", "y"), _places(others, "ox", "oy")
 
-def density(points: DataFrame, others: DataFrame, radius: float, pid: str = "id") -> DataFrame:
-    """points with the number of others within the radius, and that over the largest number."""
-    n = within_radius(points, others, radius, pid).groupBy(pid).agg(F.count("*").alias("n"))
+    def sift(pairs: DataFrame, size: float) -> DataFrame:
+        cells = (radius / size) ** 2
+        return pairs.where(F.col("low") <= cells).withColumn("inside", F.col("high") <= cells)
+
+    pairs, inside, sizes = _halved(p, o, radius * (1 + 1e-3), _extent(p, o)[1], sift)
+    met = _compared(p, o, pairs, sizes).where(F.col("d2") <= radius * radius).groupBy("x", "y").agg(F.sum("w").alias("n"))
+    whole = inside.groupBy("level", "ax", "ay").agg(F.sum("w").alias("n")).join(_in_cells(p, sizes, "a"), ["level", "ax", "ay"]).select("x", "y", "n")
+    found = written(met.unionByName(whole).groupBy("x", "y").agg(F.sum("n").alias("n")), "near")
+    n = points.join(found, ["x", "y"]).groupBy(pid).agg(F.sum("n").alias("n"))
     counted = points.join(n, pid, "left").withColumn("n", F.coalesce("n", F.lit(0).cast("long")))
     top = n.agg(F.coalesce(F.max("n"), F.lit(0)).alias("top"))
     return counted.join(F.broadcast(top)).withColumn("density", F.when(F.col("top") > 0, F.col("n") / F.col("top")).otherwise(0.0)).drop("top")

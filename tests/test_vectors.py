@@ -101,6 +101,25 @@ def test_nearest_does_not_pair_copies_or_crowds(spark):
         assert n == 90_000 and low == pytest.approx(1e-3) and high == pytest.approx(1e-3)
 
 
+@pytest.mark.parametrize("leaf", [4, 256])
+def test_density_halved_to_the_end(spark, monkeypatch, leaf):
+    monkeypatch.setattr(spatial, "LEAF", leaf)
+    monkeypatch.setattr(spatial, "FEW", 0)
+    p, o = odd_places(leaf)
+    got = {r["id"]: r["n"] for r in spatial.density(spark.createDataFrame(p, "id long, x double, y double"), spark.createDataFrame(o, "ox double, oy double"), 5.0).collect()}
+    assert got == {i: sum(v <= 25 for v in d) for i, d in placed(p, o).items()}
+
+
+def test_density_does_not_pair_copies_or_crowds(spark):
+    with at_most(spark, 120):
+        got = spatial.density(copies(spark, 300_000, "x", "y"), copies(spark, 300_000, "ox", "oy"), 1.0)
+        n = {(r["x"], r["y"]): r["n"] for r in got.groupBy("x", "y").agg(F.min("n").alias("n")).collect()}
+        assert n == {(a, b): 15_000 * sum((a - c) ** 2 + (b - d) ** 2 <= 1 for c in range(5) for d in range(4)) for a in range(5) for b in range(4)}
+    with at_most(spark, 120):
+        got = spatial.density(crowd(spark, 90_000, "x", "y"), crowd(spark, 90_000, "ox", "oy", 1e-3), 4.0)
+        assert [tuple(r) for r in got.groupBy("n", "density").count().collect()] == [(90_000, 1.0, 90_000)]
+
+
 def test_densify_walks_bends(spark):
     lines = spark.createDataFrame([(1, 1, 0.0, 0.0, 3.0, 0.0), (1, 2, 3.0, 0.0, 3.0, 3.0), (2, 1, 0.0, 0.0, 0.5, 0.0)], "feature_id long, seg int, x1 double, y1 double, x2 double, y2 double")
     got = [tuple(r) for r in spatial.densify(lines.withColumnRenamed("seg", "o"), 1.0, order="o").orderBy("feature_id", "i").collect()]
